@@ -37,12 +37,21 @@ from taperline.operators.rules import (
 )
 from taperline.schema import PERFORMANCE_METRICS, SESSION_TYPES, TAPER_METRICS, TIE_BREAK
 
-IS_MATCH = F.col("session_type") == "match"
-IS_TRAINING = F.col("session_type") != "match"
-TRAINING_LOAD = F.when(IS_TRAINING, F.col("player_load"))
 PAST = (W.unboundedPreceding, -1)
 
 
+def is_match() -> Column:
+    return F.col("session_type") == "match"
+
+
+def is_training() -> Column:
+    return F.col("session_type") != "match"
+
+
+def training_load() -> Column:
+    return F.when(is_training(), F.col("player_load"))
+
+
 def heavy_features(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     keep = [c for c in df.columns if c not in ("salt", "n_salts")]
     limit = max(max_group_rows(df.sparkSession), CHRONIC_ROWS)
@@ -64,10 +73,9 @@ def heavy_features(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
         df = with_match_days(df, unit)
         keep += ["days_since_match", "days_until_match"]
     if "speed" in groups:
-        match = F.col("session_type") == "match"
         df = df.withColumns(
             {
-                name: F.when(match, F.col(f"{name}_match")).otherwise(F.col(f"{name}_training"))
+                name: F.when(is_match(), F.col(f"{name}_match")).otherwise(F.col(f"{name}_training"))
                 for name in ("_fastest", "_peers")
             }
         ).withColumn("speed_decline", speed_decline())
@@ -99,7 +107,7 @@ def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame
         wanted |= {f"_q67_{m}": (m, TAPER_PROB) for m in TAPER_METRICS}
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_like"),
-        F.avg(TRAINING_LOAD).alias("_mean_load"),
+        F.avg(training_load()).alias("_mean_load"),
         F.avg("high_speed_distance").alias("_mean_hsd") if "taper_matches" in groups else F.lit(None).alias("_mean_hsd"),
     )
     stats = stats.join(select_by_rank(df, keys, wanted, F.lit(1)), keys, "left")
@@ -108,9 +116,9 @@ def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame
     marks = {}
     if "good_matches" in groups:
         for m in PERFORMANCE_METRICS:
-            marks[f"good_{m}"] = good_match(IS_MATCH, F.col("_like"), F.col(m) >= F.col(f"_q75_{m}"))
+            marks[f"good_{m}"] = good_match(is_match(), F.col("_like"), F.col(m) >= F.col(f"_q75_{m}"))
     if "taper_matches" in groups:
-        above = IS_MATCH & (F.col("_like") >= TAPER_MIN_MATCHES)
+        above = is_match() & (F.col("_like") >= TAPER_MIN_MATCHES)
         for m in TAPER_METRICS:
             above = above & (F.col(m) >= F.col(f"_q67_{m}"))
         marks["taper_good"] = F.coalesce(above, F.lit(False))
@@ -121,7 +129,7 @@ def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame
     df = df.withColumns(marks).drop("_like", *wanted)
     if not marks:
         return df
-    means = stats.filter(IS_TRAINING).select(
+    means = stats.filter(is_training()).select(
         "player", F.col("_mean_load").alias("mean_load"), F.col("_mean_hsd").alias("mean_hsd")
     )
     totals = stats.groupBy("player").agg(F.sum("_like").alias("_sessions"))
@@ -143,9 +151,9 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
         "_n": F.count(F.lit(1)),
         "_low": F.min("k1"),
         "_high": F.max("k1"),
-        "_load": F.sum(TRAINING_LOAD),
-        "_trainings": F.count_if(IS_TRAINING),
-        "_matches": F.count_if(IS_MATCH),
+        "_load": F.sum(training_load()),
+        "_trainings": F.count_if(is_training()),
+        "_matches": F.count_if(is_match()),
     }
     if "speed" in groups:
         for kind in SESSION_TYPES:
@@ -211,7 +219,7 @@ def _positions(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
     keys = ["player", "t", "_slice"]
     held = {"_rows": F.count(F.lit(1))}
     if "training_load" in groups:
-        held |= {"_slice_load": F.sum(TRAINING_LOAD), "_slice_trainings": F.count_if(IS_TRAINING)}
+        held |= {"_slice_load": F.sum(training_load()), "_slice_trainings": F.count_if(is_training())}
     slices = df.groupBy(*keys).agg(*[c.alias(n) for n, c in held.items()])
     before = {"_start": F.coalesce(F.sum("_rows").over(W.partitionBy("player").orderBy("t", "_slice").rowsBetween(*PAST)), F.lit(0))}
     if "training_load" in groups:
@@ -227,8 +235,8 @@ def _positions(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
     upto = inside.rowsBetween(W.unboundedPreceding, 0)
     df = df.withColumns(
         {
-            "_today": add_present(F.col("_load_before"), F.sum(TRAINING_LOAD).over(upto)),
-            "_trained": F.col("_trainings_before") + F.count_if(IS_TRAINING).over(upto) > 0,
+            "_today": add_present(F.col("_load_before"), F.sum(training_load()).over(upto)),
+            "_trained": F.col("_trainings_before") + F.count_if(is_training()).over(upto) > 0,
         }
     )
     return df.withColumns(

@@ -39,17 +39,22 @@ def max_group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(MAX_GROUP_ROWS, "1000000"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see, as the cluster names it; a scratch one in local mode."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="taperline-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table through reliable storage, so it outlives executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_DIR, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="taperline-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
