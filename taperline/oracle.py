@@ -163,7 +163,7 @@ def _tapered(rows: str) -> str:
     return f"""SELECT *, actual_load_pct - load_target AS load_difference,
       abs(actual_load_pct - load_target) < 15 AS within_target FROM (
       SELECT r.*, t.load_percentage AS load_target, t.high_intensity AS high_intensity_target,
-        t.recommended_duration AS duration_target, least(100, t.sample_count * 20) AS taper_confidence,
+        t.recommended_duration AS duration_target, CASE WHEN t.player IS NOT NULL THEN least(100, t.sample_count * 20) END AS taper_confidence,
         CASE WHEN t.player IS NOT NULL THEN CASE WHEN mean_load > 0 THEN r.player_load / mean_load * 100 ELSE 0 END END
           AS actual_load_pct
       FROM {rows} r LEFT JOIN taper t ON r.player = t.player AND r.md = t.md LEFT JOIN means n ON r.player = n.player)"""
