@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,29 +73,44 @@ def pre_match_sessions(features: DataFrame) -> DataFrame:
     )
 
 
-def _ranges(targets: dict[str, str]) -> dict[str, tuple[str, float]]:
-    bounds = {}
-    for target, column in targets.items():
-        bounds[f"{target}_lo"] = (column, LOW)
-        bounds[f"{target}_hi"] = (column, HIGH)
-    return bounds
-
+def zone_ranges(features: Split) -> DataFrame:
+    """All ranges of both session types from one pass over the features.
 
-def training_zones_by_metric(features: Split) -> DataFrame:
-    """Ranges per player, metric and days to the next match."""
+    Training before strong matches is grouped by days to the next match (``md``); strong
+    matches, if training came before any of them, by metric alone (``md`` 0).
+    """
+    training = F.col("session_type") == "training"
+    pairs = list(zip_longest(TRAINING_TARGETS.values(), MATCH_TARGETS.values()))
+    values = {
+        f"v{i}": F.when(training, F.col(t)).otherwise(F.col(m).cast("double") if m else F.lit(None))
+        for i, (t, m) in enumerate(pairs)
+    }
+    own_copies = F.when(training, F.col("ahead")).otherwise((F.col("good") & F.col("prepared")).cast("int"))
+    days = F.when(training, F.col("days_until_match")).otherwise(0)
     rows = features.each(
-        lambda df: pre_match_sessions(df)
-        .filter(F.col("days_until_match").between(1, 7))
-        .withColumnRenamed("days_until_match", "md")
-    )
-    zones = grouped_quantiles(
-        rows,
-        ["player", "md", "metric", "metric_rank"],
-        _ranges(TRAINING_TARGETS),
-        weight="copies",
-        extra={"n": F.sum("copies")},
+        lambda df: df.select(
+            "player",
+            "session_type",
+            days.alias("md"),
+            *[v.cast("double").alias(n) for n, v in values.items()],
+            per_metric("ahead_", "good_", "prepared_"),
+        )
+        .withColumn("copies", own_copies)
+        .filter((F.col("copies") > 0) & F.col("md").between(0, 7) & ((F.col("md") > 0) | (F.col("session_type") == "match")))
     )
-    return zones.filter(F.col("n") >= MIN_ZONE_SESSIONS)
+    bounds = {f"{n}_{b}": (n, p) for n in values for b, p in (("lo", LOW), ("hi", HIGH))}
+    keys = ["player", "session_type", "md", "metric", "metric_rank"]
+    return grouped_quantiles(rows, keys, bounds, weight="copies", extra={"n": F.sum("copies")})
+
+
+def _named(targets: dict[str, str]) -> list[Column]:
+    return [F.col(f"v{i}_{b}").alias(f"{t}_{b}") for i, t in enumerate(targets) for b in ("lo", "hi")]
+
+
+def training_zones_by_metric(ranges: DataFrame) -> DataFrame:
+    """Ranges per player, metric and days to the next match."""
+    own = ranges.filter((F.col("session_type") == "training") & (F.col("n") >= MIN_ZONE_SESSIONS))
+    return own.select("player", "md", "metric", "metric_rank", "n", *_named(TRAINING_TARGETS))
 
 
 def zone_precedence(by_metric: DataFrame) -> DataFrame:
@@ -107,18 +124,12 @@ def zone_precedence(by_metric: DataFrame) -> DataFrame:
     )
 
 
-def training_zones(features: Split) -> DataFrame:
-    return zone_precedence(training_zones_by_metric(features))
+def training_zones(ranges: DataFrame) -> DataFrame:
+    return zone_precedence(training_zones_by_metric(ranges))
 
 
-def match_zones(features: Split) -> DataFrame:
-    """Ranges over the strong matches of a metric, if training came before any of them."""
-    rows = features.each(
-        lambda df: df.filter("session_type = 'match'")
-        .select("player", *MATCH_TARGETS.values(), per_metric("good_", "prepared_"))
-        .filter("good and prepared")
-    )
-    return grouped_quantiles(rows, ["player", "metric"], _ranges(MATCH_TARGETS), extra={"n": F.count(F.lit(1))})
+def match_zones(ranges: DataFrame) -> DataFrame:
+    return ranges.filter("session_type = 'match'").select("player", "metric", "n", *_named(MATCH_TARGETS))
 
 
 def zone_players(training: DataFrame, match: DataFrame) -> DataFrame:

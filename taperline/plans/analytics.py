@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from taperline.operators.fatigue import FatigueModels, ModelSizes, fatigue_features, score_sessions, train_fatigue
 from taperline.operators.features import split_features
+from taperline.operators.hotspots import Split, settle
 from taperline.operators.taper import taper_features, taper_plan, training_means
-from taperline.operators.zones import KEY, match_zones, training_zones, zone_features, zone_players
+from taperline.operators.zones import KEY, match_zones, training_zones, zone_features, zone_players, zone_ranges
 from taperline.plans import dashboard, insights
 from taperline.sources.artifacts import load_artifacts, save_artifacts
 
@@ -30,11 +31,12 @@ class LoadAnalytics:
         return bool(self.tables)
 
     def fit(self, sessions: DataFrame) -> LoadAnalytics:
-        zones = zone_features(sessions)
+        """Learn from history; the tables are small and kept, so reports do not redo the work."""
+        ranges = settle(zone_ranges(zone_features(sessions)))
         self.tables = {
-            "training_zones": training_zones(zones),
-            "match_zones": match_zones(zones),
-            "taper": taper_plan(taper_features(sessions)),
+            "training_zones": training_zones(ranges),
+            "match_zones": match_zones(ranges),
+            "taper": settle(taper_plan(taper_features(sessions))),
         }
         if self.with_fatigue:
             self.fatigue = train_fatigue(fatigue_features(sessions), self.sizes)
@@ -84,7 +86,7 @@ class LoadAnalytics:
         missing = F.when(F.col("latest_date").isNull(), F.concat(F.lit("No data found for player "), F.col("player")))
         return players.select("player").distinct().join(out, "player", "left").withColumn("error", missing)
 
-    def _add_fatigue(self, rows: insights.Split) -> insights.Split:
+    def _add_fatigue(self, rows: Split) -> Split:
         scored = score_sessions(rows, self.fatigue).drop("session_type")
 
         def attach(df: DataFrame) -> DataFrame:

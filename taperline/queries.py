@@ -13,7 +13,7 @@ from taperline.functions import expressions as E
 from taperline.operators import fatigue as M
 from taperline.operators import features as C
 from taperline.operators import metrics, taper, zones
-from taperline.operators.hotspots import Split, shared_folder
+from taperline.operators.hotspots import Split, settle, shared_folder
 from taperline.operators.quantiles import grouped_quantiles
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import LoadAnalytics
@@ -215,29 +215,32 @@ MATCH_ZONE_COLUMNS = [f"{t}_{b}" for t in zones.MATCH_TARGETS for b in ("lo", "h
 TAPER_COLUMNS = ["load_percentage", "high_intensity", "high_acceleration_count", "high_deceleration_count"]
 
 
+def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.zone_ranges(zones.zone_features(sessions(spark, sf_dir)))
+
+
 def zone_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_metric = zones.training_zones_by_metric(zones.zone_features(sessions(spark, sf_dir)))
+    by_metric = zones.training_zones_by_metric(_ranges(spark, sf_dir))
     return zones.zone_precedence(by_metric).select("player", "md", "metric", "n")
 
 
 def training_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = zones.training_zones(zones.zone_features(sessions(spark, sf_dir)))
+    table = zones.training_zones(_ranges(spark, sf_dir))
     return rounded(table.select("player", "md", "md_key", *ZONE_COLUMNS, "n"), *ZONE_COLUMNS)
 
 
 def training_zones_by_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = zones.training_zones_by_metric(zones.zone_features(sessions(spark, sf_dir)))
+    table = zones.training_zones_by_metric(_ranges(spark, sf_dir))
     return rounded(table.select("player", "md", "metric", *ZONE_COLUMNS, "n"), *ZONE_COLUMNS)
 
 
 def match_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = zones.match_zones(zones.zone_features(sessions(spark, sf_dir)))
+    table = zones.match_zones(_ranges(spark, sf_dir))
     return rounded(table.select("player", "metric", *MATCH_ZONE_COLUMNS, "n"), *MATCH_ZONE_COLUMNS)
 
 
 def zone_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = zones.zone_features(sessions(spark, sf_dir))
-    return zones.zone_players(zones.training_zones(rows), zones.match_zones(rows))
+    return zones.zone_players(*_zones(spark, sf_dir))
 
 
 def training_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +268,7 @@ def lookup_player_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each player's last session with what is known about the player."""
     table = sessions(spark, sf_dir)
     last = C.latest_session(C.build_features(table, [])).select(*KEY)
-    zoned = zones.training_zones(zones.zone_features(table)).groupBy("player").agg(F.count(F.lit(1)).alias("n_zones"))
+    zoned = zones.training_zones(zones.zone_ranges(zones.zone_features(table))).groupBy("player").agg(F.count(F.lit(1)).alias("n_zones"))
     plans = taper.taper_plan(taper.taper_features(table)).groupBy("player").agg(F.count(F.lit(1)).alias("n_taper_days"))
     return last.join(zoned, "player", "left").join(plans, "player", "left")
 
@@ -359,8 +362,8 @@ def _reported(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> S
 
 
 def _zones(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = zones.zone_features(sessions(spark, sf_dir))
-    return zones.training_zones(rows), zones.match_zones(rows)
+    ranges = settle(_ranges(spark, sf_dir))
+    return zones.training_zones(ranges), zones.match_zones(ranges)
 
 
 def _zoned(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Split:

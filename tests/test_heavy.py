@@ -69,7 +69,7 @@ def test_zones_and_tapers(spark, limit):
     table = bindings.sessions(spark, SF)
 
     def made():
-        rows, plan = zones.zone_features(table), taper.taper_features(table)
+        rows, plan = zones.zone_ranges(zones.zone_features(table)), taper.taper_features(table)
         return [zones.training_zones(rows), zones.match_zones(rows), taper.taper_plan(plan)]
 
     limit(10**9)

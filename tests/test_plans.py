@@ -44,7 +44,7 @@ def test_split_does_not_depend_on_partitions(spark):
 
 
 def test_zones_follow_the_last_metric(spark):
-    rows = zones.zone_features(season(spark))
+    rows = zones.zone_ranges(zones.zone_features(season(spark)))
     by_metric = zones.training_zones_by_metric(rows).collect()
     assert {(r.metric, r.n) for r in by_metric} == {("distance_per_min", 6), ("sprints_per_min", 6)}
     (one,) = zones.training_zones(rows).collect()
@@ -74,7 +74,7 @@ def test_load_status_with_as_of_and_without(spark):
     row = analytics.predict(table, as_of=F.lit("2024-06-10").cast("date")).first()
     assert (row.load_status, row.days_until_next_match) == ("OVERLOADED", 1)
     assert row.load_adjustment == "Consider decreasing load by 8.3%"
-    every = analytics.predict(table, all_sessions=True)
+    every = analytics.predict(table, all_sessions=True).cache()
     assert {r.load_status for r in every.collect()} == {None, "UNDERLOADED", "OPTIMAL", "OVERLOADED"}
     boards = analytics.dashboard(every)
     assert boards["match_preparation"].count() == 6
@@ -136,15 +136,16 @@ def test_key_factors(spark):
 def test_save_load_predict(spark, tmp_path):
     table = bindings.sessions(spark, SF)
     analytics = LoadAnalytics(SMALL).fit(table)
-    # Let every player through the gate, so that scoring is exercised whatever the data.
     first = analytics.fatigue.registry
     assert set(first.columns) >= {"session_type", "player", "model_type", "auc", "tn", "importances"}
     path = str(tmp_path / "saved")
     analytics.save(path)
     again = LoadAnalytics.load(spark, path)
     when = F.lit("1998-07-01").cast("date")
-    a, b = (x.predict(table, as_of=when).drop("key_factors", "confusion") for x in (analytics, again))
-    assert a.exceptAll(b).isEmpty() and a.count() == b.count() == 10
+    a, b = (
+        sorted(x.predict(table, as_of=when).select("player", "load_status", "load_target", "risk_score").collect())
+        for x in (analytics, again)
+    )
+    assert a == b and len(a) == 10
+    assert all(0 <= r.risk_score <= 100 for r in a if r.risk_score is not None)
     assert analytics.profile().count() >= 2
-    risks = a.select("risk_score").na.drop().collect()
-    assert all(0 <= r.risk_score <= 100 for r in risks)
