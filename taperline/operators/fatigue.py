@@ -253,7 +253,11 @@ def train_type(features: Split, session_type: str, sizes: ModelSizes) -> Fatigue
 
 
 def train_fatigue(features: Split, sizes: ModelSizes = ModelSizes()) -> FatigueModels:
-    """Train both session types and stack their tables."""
+    """Train both session types and stack their tables.
+
+    Both types pass over the features several times, so they are computed once and written.
+    """
+    features = features.each(settle)
     out = FatigueModels()
     for session_type in SESSION_TYPES:
         part = train_type(features, session_type, sizes)

@@ -47,8 +47,9 @@ from taperline.schema import PERFORMANCE_METRICS, SESSION_TYPES, TAPER_METRICS,
 # training_load: acute/chronic load of training   row_load: the same over all sessions, monotony
 # match_days: days since/until a match            speed: decline against the last week
 # baseline: metrics against own best quarter      label: decline of the next like session
+# means: mean training load of the player
 # good_matches, taper_matches: marks of strong matches and, on other rows, how many follow
-GROUPS = ("training_load", "row_load", "match_days", "speed", "baseline", "label")
+GROUPS = ("training_load", "row_load", "match_days", "speed", "baseline", "label", "means")
 
 GRAINS = {"day": 1, "timestamp": MICROS_PER_DAY}
 
@@ -109,10 +110,9 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
     if "training_load" in groups:
         # The window is (t - 7d, t] but stops at the row itself, so later sessions of the
         # same date stay out: whole earlier dates plus this date up to the row.
-        today = F.sum(training_load).over(so_far)
+        df = df.withColumn("_today", F.sum(training_load).over(so_far))
         df = df.withColumns(
             {
-                "_today": today,
                 "_acute": F.sum(training_load).over(axis.rangeBetween(1 - ACUTE_DAYS * unit, -1)),
                 "_chronic": F.sum(training_load).over(axis.rangeBetween(1 - CHRONIC_DAYS * unit, -1)),
             }
@@ -125,19 +125,32 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
                 ).over(carried)
                 for name in ("_acute", "_chronic")
             }
-        )
-        df = df.withColumn("n_training", F.count_if(is_training).over(player)).drop("_today", "_acute", "_chronic")
+        ).drop("_today", "_acute", "_chronic")
     if "match_days" in groups:
         earlier = axis.rangeBetween(W.unboundedPreceding, -1)
         df = df.withColumn("prev_match", F.max(F.when(is_match, F.col("t"))).over(earlier))
+
+    # One window over the whole player for everything it is compared with.
+    overall = {"_sessions": F.count(F.lit(1)).over(player)}
+    if "training_load" in groups:
+        overall["n_training"] = F.count_if(is_training).over(player)
+    if groups & {"good_matches", "taper_matches"}:
+        overall["_matches"] = F.count_if(is_match).over(player)
+    if groups & {"means", "taper_matches"}:
+        overall["mean_load"] = F.avg(training_load).over(player)
+    if "taper_matches" in groups:
+        overall["mean_hsd"] = F.avg(F.when(is_training, F.col("high_speed_distance"))).over(player)
+        for m in TAPER_METRICS:
+            overall[f"_q67_{m}"] = F.percentile(F.when(is_match, F.col(m)), F.lit(TAPER_PROB)).over(player)
     if "good_matches" in groups:
-        n_matches = F.count_if(is_match).over(player)
         for m in PERFORMANCE_METRICS:
-            bar = F.percentile(F.when(is_match, F.col(m)), F.lit(BASELINE_PROB)).over(player)
-            df = df.withColumn(f"good_{m}", good_match(is_match, n_matches, F.col(m) >= bar))
-        for m in PERFORMANCE_METRICS:
-            enough = F.count_if(F.col(f"good_{m}")).over(player) >= ZONE_MIN_GOOD
-            df = df.withColumn(f"good_{m}", F.col(f"good_{m}") & enough)
+            overall[f"_q75_{m}"] = F.percentile(F.when(is_match, F.col(m)), F.lit(BASELINE_PROB)).over(player)
+    df = df.withColumns(overall).filter(F.col("_sessions") >= min_sessions)
+
+    if "good_matches" in groups:
+        good = {f"good_{m}": good_match(is_match, F.col("_matches"), F.col(m) >= F.col(f"_q75_{m}")) for m in PERFORMANCE_METRICS}
+        df = df.withColumns(good).withColumns({f"_n_{g}": F.count_if(F.col(g)).over(player) for g in good})
+        df = df.withColumns({g: F.col(g) & (F.col(f"_n_{g}") >= ZONE_MIN_GOOD) for g in good})
         week = axis.rangeBetween(1, PRE_MATCH_DAYS * unit)
         df = df.withColumns({f"ahead_{m}": F.count_if(F.col(f"good_{m}")).over(week) for m in PERFORMANCE_METRICS})
         df = df.withColumns(
@@ -145,31 +158,22 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
                 f"prepared_{m}": F.max(is_training & (F.col(f"ahead_{m}") > 0)).over(player)
                 for m in PERFORMANCE_METRICS
             }
-        )
+        ).drop(*[f"_n_{g}" for g in good], *[f"_q75_{m}" for m in PERFORMANCE_METRICS])
     if "taper_matches" in groups:
-        bars = [
-            F.col(m) >= F.percentile(F.when(is_match, F.col(m)), F.lit(TAPER_PROB)).over(player)
-            for m in TAPER_METRICS
-        ]
-        df = df.withColumns(
-            {
-                "taper_good": F.coalesce(is_match & bars[0] & bars[1], F.lit(False)),
-                "_matches": F.count_if(is_match).over(player),
-                "_sessions": F.count(F.lit(1)).over(player),
-                "mean_load": F.avg(training_load).over(player),
-                "mean_hsd": F.avg(F.when(is_training, F.col("high_speed_distance"))).over(player),
-            }
-        )
-        enough = taper_eligible(F.col("_sessions"), F.col("_matches"), F.count_if("taper_good").over(player))
-        df = df.withColumn("taper_good", F.col("taper_good") & enough).drop("_sessions", "_matches")
+        above = is_match
+        for m in TAPER_METRICS:
+            above = above & (F.col(m) >= F.col(f"_q67_{m}"))
+        df = df.withColumn("taper_good", F.coalesce(above, F.lit(False)))
+        df = df.withColumn("_good", F.count_if("taper_good").over(player))
+        enough = taper_eligible(F.col("_sessions"), F.col("_matches"), F.col("_good"))
+        df = df.withColumn("taper_good", F.col("taper_good") & enough)
         df = df.withColumns(
             {
                 f"ahead_{k}": F.count_if("taper_good").over(axis.rangeBetween(*days_before_frame(k, unit)))
                 for k in range(1, PRE_MATCH_DAYS + 1)
             }
-        )
-    if min_sessions > 1:
-        df = df.withColumn("_n", F.count(F.lit(1)).over(player)).filter(F.col("_n") >= min_sessions).drop("_n")
+        ).drop("_good", *[f"_q67_{m}" for m in TAPER_METRICS])
+    df = df.drop("_sessions", "_matches")
     if "match_days" in groups:
         # Descending, so that the frame grows row by row instead of being re-read.
         later = backwards.rangeBetween(W.unboundedPreceding, -1)

@@ -58,10 +58,15 @@ def heavy_features(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     metrics = [m for m in PERFORMANCE_METRICS if m in df.columns]
     if groups & {"good_matches", "taper_matches", "baseline"}:
         df = _with_bars(df, groups, metrics)
+    if "means" in groups:
+        keep += ["mean_load"]
+        if "mean_load" not in df.columns:
+            # One row per heavy player.
+            df = df.join(F.broadcast(settle(df.groupBy("player").agg(F.avg(training_load()).alias("mean_load")))), "player")
     if "good_matches" in groups:
         keep += [f"good_{m}" for m in PERFORMANCE_METRICS]
     if "taper_matches" in groups:
-        keep += ["taper_good", "mean_load", "mean_hsd"]
+        keep += ["taper_good", "mean_hsd"] if "means" in groups else ["taper_good", "mean_load", "mean_hsd"]
     if "baseline" in groups:
         keep += [f"{m}_vs_baseline" for m in metrics]
     df = salted_join(df, settle(_dates(df, groups, unit)), ["player", "t"])

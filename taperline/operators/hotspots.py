@@ -51,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small table through reliable storage, so it outlives executors."""
+    """Write a table that is read more than once to reliable storage, which outlives executors."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from taperline.operators.fatigue import FatigueModels, ModelSizes, fatigue_features, score_sessions, train_fatigue
 from taperline.operators.features import split_features
 from taperline.operators.hotspots import Split, settle
-from taperline.operators.taper import taper_features, taper_plan, training_means
+from taperline.operators.taper import taper_features, taper_plan
 from taperline.operators.zones import KEY, match_zones, training_zones, zone_features, zone_players, zone_ranges
 from taperline.plans import dashboard, insights
 from taperline.sources.artifacts import load_artifacts, save_artifacts
 
 TABLES = ["training_zones", "match_zones", "taper"]
-PREDICT_GROUPS = ["training_load", "row_load", "match_days"]
+PREDICT_GROUPS = ["training_load", "row_load", "match_days", "means"]
 
 
 class LoadAnalytics:
@@ -79,8 +79,7 @@ class LoadAnalytics:
         elif taper_needs_model:
             rows = rows.each(lambda df: df.withColumn("model_type", F.lit(None).cast("string")))
         rows = insights.add_zones(rows, self.tables["training_zones"], self.tables["match_zones"])
-        means = training_means(features.union())
-        out = insights.add_taper(rows, self.tables["taper"], means, taper_needs_model).union()
+        out = insights.add_taper(rows, self.tables["taper"], taper_needs_model).union()
         if players is None:
             return out
         missing = F.when(F.col("latest_date").isNull(), F.concat(F.lit("No data found for player "), F.col("player")))

@@ -110,26 +110,22 @@ def load_status() -> dict[str, Column]:
     return {"load_status": status, "load_message": message[status], "load_adjustment": adjustment}
 
 
-def add_taper(rows: Split, taper: DataFrame, means: DataFrame, needs_model: bool = False) -> Split:
+def add_taper(rows: Split, taper: DataFrame, needs_model: bool = False) -> Split:
     """Advice for the day from the player's taper plan, within a week of a match.
 
     ``needs_model`` withholds it where the session has no fatigue model.
     """
     plan = taper.select(
         "player",
-        "md",
+        F.col("md").alias("taper_md"),
         F.col("load_percentage").alias("load_target"),
         F.col("high_intensity").alias("high_intensity_target"),
         F.col("recommended_duration").alias("duration_target"),
         F.least(F.lit(FULL_CONFIDENCE), F.col("sample_count") * CONFIDENCE_PER_SAMPLE).alias("taper_confidence"),
     )
-    planned = means.select("player", "mean_load")
-    if needs_model:
-        rows = rows.each(lambda df: df.withColumn("_md", F.col("md")).withColumn("md", F.when(F.col("model_type").isNotNull(), F.col("md"))))
-    rows = lookup(lookup(rows, plan, ["player", "md"]), planned, ["player"])
-    if needs_model:
-        rows = rows.each(lambda df: df.withColumn("md", F.col("_md")).drop("_md"))
-    return rows.each(lambda df: df.withColumns(today_comparison()))
+    day = F.when(F.col("model_type").isNotNull(), F.col("md")) if needs_model else F.col("md")
+    rows = lookup(rows.each(lambda df: df.withColumn("taper_md", day)), plan, ["player", "taper_md"])
+    return rows.each(lambda df: df.drop("taper_md").withColumns(today_comparison()))
 
 
 def today_comparison() -> dict[str, Column]:

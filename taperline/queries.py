@@ -357,7 +357,7 @@ def key_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reported(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Split:
-    features = C.split_features(sessions(spark, sf_dir), ["match_days"])
+    features = C.split_features(sessions(spark, sf_dir), ["match_days", "means"])
     return insights.insight_rows(features, None if all_sessions else as_of(), all_sessions)
 
 
@@ -372,9 +372,8 @@ def _zoned(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Spli
 
 def _tapered(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> DataFrame:
     table = sessions(spark, sf_dir)
-    plan = taper.taper_plan(taper.taper_features(table))
-    means = taper.training_means(C.build_features(table, []))
-    return insights.add_taper(_reported(spark, sf_dir, all_sessions), plan, means).union()
+    plan = settle(taper.taper_plan(taper.taper_features(table)))
+    return insights.add_taper(_reported(spark, sf_dir, all_sessions), plan).union()
 
 
 def insight_header(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,7 +472,7 @@ def fatigue_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = M.FATIGUE_FEATURES["match"]
     rows = M.fatigue_features(sessions(spark, sf_dir))
-    clean = rows.each(lambda df: M.drop_null_features(df, "match"))
+    clean = rows.each(lambda df: settle(M.drop_null_features(df, "match")))
     scaled = M.standardize(clean, M.player_scalers(clean.union(), inputs), inputs).union()
     return rounded(scaled.select(*KEY, *inputs), *inputs)
 
