@@ -36,7 +36,7 @@ class Split:
 
 
 def max_group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(MAX_GROUP_ROWS, "1000000"))
+    return int(spark.conf.get(MAX_GROUP_ROWS, "250000"))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taperline.operators.fatigue import FatigueModels, ModelSizes, fatigue_features, score_sessions, train_fatigue
-from taperline.operators.features import split_features
+from taperline.operators.features import performance_target, split_features
 from taperline.operators.hotspots import Split, settle
 from taperline.operators.taper import taper_features, taper_plan
 from taperline.operators.zones import KEY, match_zones, training_zones, zone_features, zone_players, zone_ranges
 from taperline.plans import dashboard, insights
 from taperline.sources.artifacts import load_artifacts, save_artifacts
+from taperline.sources.ingest import train_test_split
 
 TABLES = ["training_zones", "match_zones", "taper"]
 PREDICT_GROUPS = ["training_load", "row_load", "match_days", "means"]
@@ -121,3 +122,12 @@ class LoadAnalytics:
     def _need_training(self) -> None:
         if not self.is_trained:
             raise ValueError("Model has not been trained yet. Call fit() first.")
+
+
+def train_and_report(
+    sessions: DataFrame, analytics: LoadAnalytics | None = None, as_of: Column | None = None
+) -> tuple[LoadAnalytics, DataFrame]:
+    """Mark the performance target, fit on the training part, report on the rest."""
+    train, test = train_test_split(performance_target(sessions))
+    analytics = (analytics or LoadAnalytics()).fit(train)
+    return analytics, analytics.predict(test, as_of=as_of)

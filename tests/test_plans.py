@@ -6,6 +6,7 @@ from taperline import LoadAnalytics
 from taperline.operators import metrics, taper, zones
 from taperline.operators.fatigue import ModelSizes, month_group_folds, select_best_model
 from taperline.plans import dashboard, insights
+from taperline.plans.analytics import train_and_report
 from taperline.schema import require_columns
 from taperline.sources import bindings, ingest
 
@@ -89,6 +90,14 @@ def test_unknown_players_get_an_error(spark):
     assert {r.player: r.error for r in rows} == {"A": None, "Z": "No data found for player Z"}
 
 
+def test_train_and_report_uses_the_held_out_part(spark):
+    table = bindings.sessions(spark, SF)
+    analytics, rows = train_and_report(table, LoadAnalytics(with_fatigue=False))
+    assert analytics.is_trained and "target" in rows.columns
+    held_out = ingest.train_test_split(table)[1].select("k1", "k2", "k3")
+    assert rows.select("k1", "k2", "k3").join(held_out, ["k1", "k2", "k3"], "left_anti").isEmpty()
+
+
 def test_untrained_and_missing_artefacts(spark, tmp_path):
     with pytest.raises(ValueError, match="trained"):
         LoadAnalytics().predict(season(spark))
