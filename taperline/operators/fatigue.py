@@ -55,10 +55,16 @@ class FatigueModels:
     aucs: DataFrame | None = None
 
 
+FATIGUE_GROUPS = ("training_load", "row_load", "match_days", "label")
+
+
 def fatigue_features(sessions: DataFrame) -> Split:
     """Sessions with the classifier inputs, the label and the month."""
-    rows = split_features(sessions, ["training_load", "row_load", "match_days", "label"])
-    return rows.each(
+    return fatigue_inputs(split_features(sessions, FATIGUE_GROUPS))
+
+
+def fatigue_inputs(features: Split) -> Split:
+    return features.each(
         lambda df: df.select(
             *KEY,
             "session_type",
@@ -255,9 +261,8 @@ def train_type(features: Split, session_type: str, sizes: ModelSizes) -> Fatigue
 def train_fatigue(features: Split, sizes: ModelSizes = ModelSizes()) -> FatigueModels:
     """Train both session types and stack their tables.
 
-    Both types pass over the features several times, so they are computed once and written.
+    Both types pass over ``features`` several times: pass them stored.
     """
-    features = features.each(settle)
     out = FatigueModels()
     for session_type in SESSION_TYPES:
         part = train_type(features, session_type, sizes)

@@ -10,6 +10,7 @@ plan is not built at all.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -51,13 +52,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a table that is read more than once to reliable storage, which outlives executors."""
+    """Cut the lineage of a small table through reliable storage, which outlives executors."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a large table that several passes read: columnar, so each reads what it needs."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def heavy_players(sessions: DataFrame) -> DataFrame:
     """(player, n_salts) of the heavy players: at most rows / max_group_rows entries."""
     limit = max_group_rows(sessions.sparkSession)

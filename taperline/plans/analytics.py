@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taperline.operators.fatigue import FatigueModels, ModelSizes, fatigue_features, score_sessions, train_fatigue
+from taperline.operators.fatigue import (
+    FATIGUE_GROUPS,
+    FatigueModels,
+    ModelSizes,
+    fatigue_inputs,
+    score_sessions,
+    train_fatigue,
+)
 from taperline.operators.features import performance_target, split_features
-from taperline.operators.hotspots import Split, settle
-from taperline.operators.taper import taper_features, taper_plan
-from taperline.operators.zones import KEY, match_zones, training_zones, zone_features, zone_players, zone_ranges
+from taperline.operators.hotspots import Split, settle, stored
+from taperline.operators.taper import taper_plan
+from taperline.operators.zones import KEY, match_zones, training_zones, zone_players, zone_ranges
 from taperline.plans import dashboard, insights
+from taperline.schema import EXPORT_COLUMNS
 from taperline.sources.artifacts import load_artifacts, save_artifacts
 from taperline.sources.ingest import train_test_split
 
 TABLES = ["training_zones", "match_zones", "taper"]
+# Input columns that nothing reads once the features are there.
+UNREAD = [
+    name
+    for name, _ in EXPORT_COLUMNS.values()
+    if name.startswith(("dist_", "accel_", "decel_", "impact_")) or name in ("session_ts", "tags", "position", "top_speed")
+]
 PREDICT_GROUPS = ["training_load", "row_load", "match_days", "means"]
 
 
@@ -32,15 +46,24 @@ class LoadAnalytics:
         return bool(self.tables)
 
     def fit(self, sessions: DataFrame) -> LoadAnalytics:
-        """Learn from history; the tables are small and kept, so reports do not redo the work."""
-        ranges = settle(zone_ranges(zone_features(sessions)))
+        """Learn from history.
+
+        One pass computes all features and writes them; zones, tapers and classifiers read
+        that. What is learned is small and kept, so reports do not redo the work.
+        """
+        groups = {"training_load", "match_days", "good_matches", "taper_matches"}
+        if self.with_fatigue:
+            groups.update(FATIGUE_GROUPS)
+        features = split_features(sessions, groups)
+        features = features.each(lambda df: stored(df.drop(*UNREAD)))
+        ranges = settle(zone_ranges(features))
         self.tables = {
             "training_zones": training_zones(ranges),
             "match_zones": match_zones(ranges),
-            "taper": settle(taper_plan(taper_features(sessions))),
+            "taper": settle(taper_plan(features)),
         }
         if self.with_fatigue:
-            self.fatigue = train_fatigue(fatigue_features(sessions), self.sizes)
+            self.fatigue = train_fatigue(fatigue_inputs(features), self.sizes)
         return self
 
     def profile(self) -> DataFrame:

@@ -13,7 +13,7 @@ from taperline.functions import expressions as E
 from taperline.operators import fatigue as M
 from taperline.operators import features as C
 from taperline.operators import metrics, taper, zones
-from taperline.operators.hotspots import Split, settle, shared_folder
+from taperline.operators.hotspots import Split, settle, shared_folder, stored
 from taperline.operators.quantiles import grouped_quantiles
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import LoadAnalytics
@@ -472,14 +472,14 @@ def fatigue_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = M.FATIGUE_FEATURES["match"]
     rows = M.fatigue_features(sessions(spark, sf_dir))
-    clean = rows.each(lambda df: settle(M.drop_null_features(df, "match")))
+    clean = rows.each(lambda df: stored(M.drop_null_features(df, "match")))
     scaled = M.standardize(clean, M.player_scalers(clean.union(), inputs), inputs).union()
     return rounded(scaled.select(*KEY, *inputs), *inputs)
 
 
 @cache
 def _trained(spark: SparkSession, sf_dir: str) -> M.FatigueModels:
-    return M.train_fatigue(M.fatigue_features(sessions(spark, sf_dir)), CHECK_SIZES)
+    return M.train_fatigue(M.fatigue_features(sessions(spark, sf_dir)).each(stored), CHECK_SIZES)
 
 
 def month_group_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
