@@ -64,18 +64,15 @@ def text_identity() -> list:
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets): the texts of some rows as one array of UTF-8 bytes; null is empty."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
-        ends = np.cumsum(sizes)
+        at = batch.schema.get_field_index(column)
+        texts = batch.column(at).fill_null("").cast(pa.large_string())
+        if not batch.num_rows:
+            continue
+        _, places, content = texts.buffers()
+        ends = np.frombuffer(places, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(content, dtype=np.uint8) if content else np.zeros(0, dtype=np.uint8)
         start = 0
-        while start < len(sizes):
-            base = ends[start] - sizes[start]
-            stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
-            rows = batch.slice(start, stop - start)
-            offsets = np.concatenate(([0], ends[start:stop] - base))
-            joined = pa.compute.binary_join(
-                pa.array([rows.column(rows.schema.get_field_index(column)).fill_null("").cast(pa.large_string())]), ""
-            )
-            data = joined[0].as_buffer()
-            yield rows, np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8), offsets
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + SLICE_BYTES, side="right")) - 1)
+            yield batch.slice(start, stop - start), data[ends[start] : ends[stop]], ends[start : stop + 1] - ends[start]
             start = stop

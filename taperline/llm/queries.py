@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taperline.llm import html_text, quality, warc
+from taperline.llm import decontaminate, html_text, near_dedup, quality, warc
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -20,6 +25,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.match_digest(found)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisit_digest(warc.write_archive(table(spark, sf_dir, "pages")))
 
