@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taperline.llm import decontaminate, html_text, near_dedup, packing, quality, warc
+from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, warc
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.match_digest(found)

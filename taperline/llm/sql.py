@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WORD = r"[^\x20\x09-\x0D]+"
+from taperline.llm.licenses import NARROWER, PHRASES, TEMPLATES
 
 OP8 = """
 WITH p AS (
@@ -100,5 +100,35 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 
+def license_sql() -> str:
+    """The join as plain containment of every template in every block."""
+    templates = ", ".join(f"({i}, '{label}', '{notice}')" for i, (label, notice) in enumerate(TEMPLATES))
+    phrases = ", ".join(f"('{label}', '{phrase}')" for label, phrase in PHRASES.items())
+    narrower = ", ".join(f"('{a}', '{b}')" for a, b in NARROWER)
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+ph AS (SELECT label, string_split(p, ' ') AS p FROM (VALUES {phrases}) v(label, p)),
+places AS (SELECT doc_id, label, i - 1 AS at_word FROM (SELECT doc_id, label, w, p,
+    unnest(range(1, len(w) - len(p) + 2)) AS i FROM d, ph WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
+base AS (SELECT doc_id, count(*) AS n_base, min(at_word) AS first_word, max(at_word) AS last_word FROM places GROUP BY doc_id),
+t AS (SELECT i, label, list_distinct(string_split(notice, ' ')) AS ws FROM (VALUES {templates}) v(i, label, notice)),
+b AS (SELECT doc_id, k, list_distinct(w[32 * k + 1:32 * k + 64]) AS ws
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) // 32 + 1)) AS k FROM d)),
+s AS (SELECT doc_id, k, label, len(list_intersect(b.ws, t.ws)) AS c, len(t.ws) AS n FROM b, t),
+hit AS (SELECT doc_id, k, label, max(c / n) AS containment FROM s WHERE 100 * c >= 90 * n GROUP BY ALL),
+most AS (SELECT doc_id, max(containment) AS best FROM hit GROUP BY doc_id),
+own AS (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o JOIN (VALUES {narrower}) x(a, z) ON o.label = x.a
+    WHERE o.doc_id = h.doc_id AND o.k = h.k AND x.z = h.label)),
+bl AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id),
+al AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM own) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN most USING (doc_id)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": OP7, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op8_warc": OP8}
+    return {"op6_license_scans": license_sql(), "op7_benchmark_decontamination": OP7, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op8_warc": OP8}
