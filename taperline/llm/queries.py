@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, warc
+from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, secrets, warc
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_candidates", "n_findings", "findings")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
