@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, secrets, warc
+from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, repeats, secrets, warc
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,5 +53,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisit_digest(warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
