@@ -46,6 +46,12 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """Run the last step of ``df`` in as many tasks as ``rows`` rows need, in place of one per shuffle partition."""
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, 1 + rows // per_task))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taperline.llm.common import discard, stored
+from taperline.llm.common import discard, sized, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -17,27 +17,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
     an empty result. Minima are combined before the shuffle, and joins on a node with many edges
     are split by the adaptive planner.
     """
-    current = stored(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
-    if current.isEmpty():
-        return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    while True:
+    current = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    state, before = edge_state(current), None
+    while state["n"] and state != before:
+        n = 2 * state["n"]
         # Large star: a node's larger neighbours move to the smallest node it knows.
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        smallest = sized(both.groupBy("a").agg(F.min("b").alias("m")), n).select("a", F.least("a", "m").alias("m"))
+        large = sized(both.filter("b > a").join(smallest, "a"), n).select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: a node and its smaller neighbours move to the smallest of them.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        linked = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        following = stored(linked.filter("a <> b").distinct(), "edges")
-        same = following.count() == current.count() and following.join(current, ["a", "b"], "left_anti").isEmpty()
+        least = sized(large.groupBy("a").agg(F.min("b").alias("m")), n)
+        small = sized(large.join(least, "a"), n)
+        linked = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
+        following = stored(sized(linked.filter("a <> b").distinct(), n), "edges")
         discard(current)
-        current = following
-        if same:
-            break
+        current, before, state = following, state, edge_state(following)
     roots = current.select(F.col("b").alias("node")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def edge_state(edges: DataFrame) -> dict:
+    """Number and checksum of a set of edges."""
+    mark = F.bit_xor(F.xxhash64("a", "b"))
+    return edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(mark, F.lit(0)).alias("mark")).first().asDict()

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taperline.llm.common import discard, stored, text_identity, text_slices
+from taperline.llm.common import discard, sized, stored, text_identity, text_slices
 from taperline.llm.components import connected_components
 from taperline.llm.kernels import SPACED, mix, word_hashes
 
@@ -139,32 +139,33 @@ def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(said))
 
 
-def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def near(pairs: DataFrame, classes: DataFrame, pairs_at_most: int) -> DataFrame:
     """Pairs (a, b) whose sizes allow the similarity and whose signatures are near, with errors."""
     facts = classes.select("cid", "n_shingles", "signature")
     a, b = (facts.select([F.col(c).alias(f"{c}_{s}") for c in facts.columns]) for s in "ab")
-    sized = (
+    fitting = (
         pairs.join(a, pairs["a"] == a["cid_a"])
         .join(b, pairs["b"] == b["cid_b"])
         .filter(100 * F.least("n_shingles_a", "n_shingles_b") >= SIMILARITY * F.greatest("n_shingles_a", "n_shingles_b"))
     )
-    return sized.select("a", "b", "signature_a", "signature_b").mapInArrow(signature_distance, "a long, b long, errors int")
+    return sized(fitting.select("a", "b", "signature_a", "signature_b"), pairs_at_most).mapInArrow(signature_distance, "a long, b long, errors int")
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs of classes that are similar, from full sets of a document of each."""
-    if pairs.isEmpty():
+    """The stored pairs of classes that are similar, from full sets of a document of each."""
+    n = pairs.count()
+    if not n:
         return pairs.select("a", "b")
-    needed = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "doc"), "cid").select("cid", "doc.*"), "needed"
-    )
+    needed = sized(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "doc"), "cid"), 2 * n)
+    needed = stored(needed.select("cid", "doc.*"), "needed")
     texts = documents.select(*text_identity(), "text").alias("t")
     same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_hash") == F.col("n.text_hash"))
-    found = texts.join(needed.alias("n"), same).select("cid", "text")
-    sets = stored(found.mapInArrow(text_sets, "cid long, shingles binary").dropDuplicates(["cid"]), "sets")
-    one = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left")), "a")
+    found = sized(texts.join(needed.alias("n"), same).select("cid", "text"), n, 2_000)
+    # Equal rows give their class's set more than once.
+    sets = stored(sized(found.mapInArrow(text_sets, "cid long, shingles binary").dropDuplicates(["cid"]), n, 5_000), "sets")
+    one = sized(pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left")), "a"), n, 2_000)
     two = one.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right")), "b")
-    links = stored(two.select("a", "b", "left", "right").mapInArrow(similar, "a long, b long"), "links")
+    links = stored(sized(two.select("a", "b", "left", "right"), n, 2_000).mapInArrow(similar, "a long, b long"), "links")
     discard(needed, sets)
     return links
 
@@ -209,29 +210,31 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     keys = signed.select("cid", "signature").mapInArrow(class_keys, "key long, cid long")
     buckets = keys.groupBy("key").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     met = stored(keys.join(buckets, "key").select("key", "cid", "head"), "buckets")
-    stars = near(met.filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), classes)
+    rows = met.count()
+    heads = sized(met.filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), rows)
+    stars = near(heads, classes, rows // SYMBOLS)
     closest = stars.groupBy("a").agg(F.min(F.struct("errors", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    tried = stored(closest, "stars")
+    tried = stored(sized(closest, rows // SYMBOLS), "stars")
     links = confirmed(tried, documents, classes)
     member = connected_components(links)
-    grown = met.join(member.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
     # Buckets that one component fills need nothing more.
-    sizes = grown.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = (
-        sizes.groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("components"))
-        .filter("components > 1")
-        .select("key", F.col("main.component").alias("main"))
+    grown = sized(met.join(member.withColumnRenamed("node", "cid"), "cid", "left"), rows).select(
+        "key", "cid", F.coalesce("component", "cid").alias("component")
     )
-    mixed = stored(grown.join(main, "key"), "mixed")
+    several = grown.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    mixed = stored(sized(grown.join(several, "key"), rows), "mixed")
+    left = mixed.count()
+    sizes = sized(mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")), left)
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).select("key", F.col("main.component").alias("main"))
+    known = stored(sized(mixed.join(main, "key"), left), "mixed")
     # Across components: those outside of a bucket's largest component meet all others, once.
-    a = mixed.filter("component <> main").select("key", F.col("cid").alias("a"), F.col("component").alias("ca"))
-    b = mixed.select("key", F.col("cid").alias("b"), F.col("component").alias("cb"), "main")
-    across = a.join(b, "key").filter("ca <> cb and (cb = main or a < b)")
+    a = known.filter("component <> main").select("key", F.col("cid").alias("a"), F.col("component").alias("ca"))
+    b = known.select("key", F.col("cid").alias("b"), F.col("component").alias("cb"), "main")
+    across = sized(a.join(b, "key").filter("ca <> cb and (cb = main or a < b)"), left)
     pairs = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    rest = stored(near(pairs, classes).select("a", "b").join(tried, ["a", "b"], "left_anti"), "across")
+    rest = stored(near(sized(pairs, left), classes, left).select("a", "b").join(tried, ["a", "b"], "left_anti"), "across")
     more = confirmed(rest, documents, classes)
-    discard(met, mixed)
+    discard(met, mixed, known)
     return stored(links.unionByName(more), "links")
 
 

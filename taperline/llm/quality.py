@@ -120,7 +120,6 @@ def fences(counts: DataFrame, rules: Rules) -> DataFrame:
         .groupBy("_lang", "_source", "r.rate", "r.at")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    groups = counts.select("_lang", "_source").distinct().withColumn("_all", F.lit(2))
     # Sketches of larger groups are sums of those of smaller ones; a sketch has at most a few hundred buckets.
     merged = (
         sketch.unionByName(sketch.groupBy("_lang", "rate", "at").agg(F.sum("n").alias("n")).withColumn("_source", F.lit("")).withColumn("level", F.lit(1)), True)
@@ -154,15 +153,18 @@ def fences(counts: DataFrame, rules: Rules) -> DataFrame:
     picks.append(F.max(F.when(F.col("rate") == "word_length", F.col("low"))).alias("_low_word_length"))
     wide = fenced.groupBy("level", "_lang", "_source").agg(F.max("n").alias("n"), *picks)
     names = [c for c in wide.columns if c.startswith(("_high", "_low"))]
-    of = {i: wide.filter(F.col("level") == i).select(*[F.col(c).alias(f"{c}_{i}") for c in ("_lang", "_source", "n", *names)]) for i in range(3)}
-    enough = [F.coalesce(F.col(f"n_{i}"), F.lit(0)) >= rules.min_documents for i in range(2)]
-    joined = (
-        groups.join(of[0], F.col("_lang").eqNullSafe(F.col("_lang_0")) & F.col("_source").eqNullSafe(F.col("_source_0")), "left")
-        .join(of[1], F.col("_lang").eqNullSafe(F.col("_lang_1")), "left")
-        .join(of[2].drop("_lang_2", "_source_2").withColumn("_all", F.lit(2)), "_all", "left")
+    groups = counts.select("_lang", "_source").distinct()
+    # Each group asks for its own sketch, its language's and that of all, and takes the first with enough documents.
+    asked = groups.select("*", F.explode(F.array(*map(F.lit, range(3)))).alias("_level")).alias("g")
+    wide = wide.withColumnsRenamed({"_lang": "_of_lang", "_source": "_of_source"})
+    same = (
+        (F.col("_level") == F.col("level"))
+        & F.when(F.col("_level") < 2, F.col("_lang")).otherwise("").eqNullSafe(F.col("_of_lang"))
+        & F.when(F.col("_level") < 1, F.col("_source")).otherwise("").eqNullSafe(F.col("_of_source"))
     )
-    chosen = [F.when(enough[0], F.col(f"{c}_0")).when(enough[1], F.col(f"{c}_1")).otherwise(F.col(f"{c}_2")).alias(c) for c in names]
-    return joined.select("_lang", "_source", *chosen)
+    enough = asked.join(wide, same).filter((F.col("_level") == 2) | (F.col("n") >= rules.min_documents))
+    best = enough.groupBy("_lang", "_source").agg(F.min_by(F.struct(*names), "_level").alias("best"))
+    return best.select("_lang", "_source", "best.*")
 
 
 def judged(counts: DataFrame, rules: Rules) -> DataFrame:

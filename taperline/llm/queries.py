@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taperline.llm import decontaminate, html_text, licenses, near_dedup, packing, quality, repeats, secrets, warc
+from taperline.llm import decontaminate, html_text, licenses, lm, near_dedup, packing, quality, repeats, secrets, warc
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisit_digest(warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.document_scores(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
 
