@@ -10,8 +10,9 @@ one error (11 chunks with two errors each would be 22). So every chunk is indexe
 its symbols, with that symbol masked out: all allowed errors are enumerated, and all pairs within the
 distance meet in a bucket. Buckets are never expanded into pairs. First each class is compared with
 the smallest class of its buckets, the closest one; the confirmed links give components. Then only in
-buckets that hold several components, members are compared across components. That leaves out no
-link that could change a component. Every link is confirmed on the full sets.
+buckets that hold several components, members are compared across components: those of small buckets
+as pairs, those of crowded ones inside of tasks, family by family and block by block. That leaves out
+no link that could change a component. Every link is confirmed on the full sets.
 
 Texts without words (also null texts) have empty sets, linked with nothing. A class's sets are equal,
 so copies cost one row each. A null doc_id never is a component's id unless all its documents have none.
@@ -41,6 +42,11 @@ CHUNKS = 11
 SIMILARITY = 85  # per cent
 #: Sets below this size cannot be similar without being equal: 5 of 6 shingles are 83 %.
 LEAST_SIZE = 6
+#: Members of a bucket up to which its pairs across components become rows.
+CROWD = 16
+#: Classes and shingles that one task compares among themselves.
+BLOCK_CLASSES = 4096
+BLOCK_SHINGLES = 4_000_000
 
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (4, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 CHUNK_OF = np.arange(SYMBOLS) * CHUNKS // SYMBOLS
@@ -151,22 +157,97 @@ def near(pairs: DataFrame, classes: DataFrame, pairs_at_most: int) -> DataFrame:
     return sized(fitting.select("a", "b", "signature_a", "signature_b"), pairs_at_most).mapInArrow(signature_distance, "a long, b long, errors int")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """The stored pairs of classes that are similar, from full sets of a document of each."""
-    n = pairs.count()
-    if not n:
-        return pairs.select("a", "b")
-    needed = sized(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "doc"), "cid"), 2 * n)
-    needed = stored(needed.select("cid", "doc.*"), "needed")
+def class_sets(cids: DataFrame, n: int, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, shingles) of about n classes, stored, from the text of one document of each."""
+    needed = stored(sized(cids.join(classes.select("cid", "doc"), "cid"), n).select("cid", "doc.*"), "needed")
     texts = documents.select(*text_identity(), "text").alias("t")
     same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_hash") == F.col("n.text_hash"))
     found = sized(texts.join(needed.alias("n"), same).select("cid", "text"), n, 2_000)
     # Equal rows give their class's set more than once.
-    sets = stored(sized(found.mapInArrow(text_sets, "cid long, shingles binary").dropDuplicates(["cid"]), n, 5_000), "sets")
+    sets = found.mapInArrow(text_sets, "cid long, shingles binary").dropDuplicates(["cid"])
+    return stored(sized(sets, n, 5_000), "sets")
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """The stored pairs of classes that are similar, from full sets of a document of each."""
+    n = pairs.count()
+    if not n:
+        return documents.sparkSession.createDataFrame([], "a long, b long")
+    sets = class_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), 2 * n, documents, classes)
     one = sized(pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left")), "a"), n, 2_000)
     two = one.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right")), "b")
     links = stored(sized(two.select("a", "b", "left", "right"), n, 2_000).mapInArrow(similar, "a long, b long"), "links")
-    discard(needed, sets)
+    discard(sets)
+    return links
+
+
+def block_links(rows: pa.Table) -> pa.Table:
+    """Links that join the components of one family's block, or of two blocks across."""
+    cid = rows.column("cid").to_numpy()
+    block = rows.column("block").to_numpy()
+    label = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
+    symbols = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
+    sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in rows.column("shingles")]
+    size = np.array([len(s) for s in sets])
+    across = block.min() != block.max()
+    # Only shingles that several sets hold can be common; as bits where that is small, else by merging sets.
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    shared = np.flatnonzero(count[number] > 1)
+    width = 8 * (int(place[-1]) // 64 + 1)
+    bits = None
+    if width * len(sets) <= 1 << 27:
+        bits = np.zeros((len(sets), width), dtype=np.uint8)
+        at = place[number[shared]]
+        np.bitwise_or.at(bits, (np.repeat(np.arange(len(sets)), size)[shared], at >> 3), (1 << (at & 7)).astype(np.uint8))
+        bits = bits.view(np.uint64)
+    a, b = [], []
+    for i in range(len(cid) - 1):
+        other = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        if across:
+            other = other[block[other] != block[i]]
+        other = other[100 * np.minimum(size[other], size[i]) >= SIMILARITY * np.maximum(size[other], size[i])]
+        other = other[(symbols[other] != symbols[i]).sum(axis=1) <= MAX_ERRORS]
+        if not len(other):
+            continue
+        if bits is not None:
+            common = np.bitwise_count(bits[other] & bits[i]).sum(axis=1, dtype=np.int64)
+        else:
+            common = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in other])
+        for j in other[100 * common >= SIMILARITY * (size[i] + size[other] - common)]:
+            if label[j] != label[i]:
+                a.append(max(cid[i], cid[j]))
+                b.append(min(cid[i], cid[j]))
+                label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def crowd_links(members: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links across components in crowded buckets: rows (key, cid, component) -> stored links (a, b).
+
+    Classes that such buckets connect are a family. A family is compared inside of one task, without
+    making rows of its pairs; one too large for that is cut into blocks, and each pair of blocks is a task.
+    """
+    rows = members.count()
+    if not rows:
+        return documents.sparkSession.createDataFrame([], "a long, b long")
+    heads = members.groupBy("key").agg(F.min("cid").alias("head"))
+    star = sized(members.join(heads, "key").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), rows)
+    family = connected_components(star).select(F.col("node").alias("cid"), F.col("component").alias("family"))
+    own = sized(members.select("cid", "component").distinct().join(family, "cid"), rows)
+    own = stored(own.join(classes.select("cid", "n_shingles", "signature"), "cid"), "family")
+    n = own.count()
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
+    sizes = own.groupBy("family").agg(blocks.cast("int").alias("blocks"))
+    placed = sized(own.join(sizes, "family"), n).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tasks = placed.select("*", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    sets = class_sets(own.select("cid").distinct(), n, documents, classes)
+    whole = sized(tasks.join(sets, "cid"), n, 5_000).select(
+        "family", "i", "j", "cid", "block", "component", "signature", "shingles"
+    )
+    links = stored(sized(whole.groupBy("family", "i", "j").applyInArrow(block_links, "a long, b long"), n, 2_000), "links")
+    discard(own, sets)
     return links
 
 
@@ -224,18 +305,19 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     several = grown.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     mixed = stored(sized(grown.join(several, "key"), rows), "mixed")
     left = mixed.count()
-    sizes = sized(mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")), left)
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).select("key", F.col("main.component").alias("main"))
-    known = stored(sized(mixed.join(main, "key"), left), "mixed")
-    # Across components: those outside of a bucket's largest component meet all others, once.
-    a = known.filter("component <> main").select("key", F.col("cid").alias("a"), F.col("component").alias("ca"))
-    b = known.select("key", F.col("cid").alias("b"), F.col("component").alias("cb"), "main")
-    across = sized(a.join(b, "key").filter("ca <> cb and (cb = main or a < b)"), left)
-    pairs = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    rest = stored(near(sized(pairs, left), classes, left).select("a", "b").join(tried, ["a", "b"], "left_anti"), "across")
+    per_key = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    known = stored(sized(mixed.join(per_key, "key"), left), "mixed")
+    # Across components, each pair once.
+    few = known.filter(F.col("n") <= CROWD)
+    a = few.select("key", F.col("cid").alias("a"), F.col("component").alias("ca"))
+    b = few.select("key", F.col("cid").alias("b"), F.col("component").alias("cb"))
+    across = sized(a.join(b, "key").filter("ca <> cb and a > b"), left)
+    pairs = sized(across.select("a", "b").distinct(), left)
+    rest = stored(near(pairs, classes, left).select("a", "b").join(tried, ["a", "b"], "left_anti"), "across")
     more = confirmed(rest, documents, classes)
+    most = crowd_links(known.filter(F.col("n") > CROWD).select("key", "cid", "component"), documents, classes)
     discard(met, mixed, known)
-    return stored(links.unionByName(more), "links")
+    return stored(links.unionByName(more).unionByName(most), "links")
 
 
 def distinct_documents(documents: DataFrame) -> DataFrame:
