@@ -20,9 +20,8 @@ An empty table gives no pieces.
 
 from __future__ import annotations
 
-import sys
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,10 @@ CAPACITY = 4096
 END_ID = 1
 #: Fillings that the search tries in all, and that it lists for one piece.
 SEARCH_NODES = 20_000
-FILLINGS = 32
+FILLINGS = 16
+#: Lengths that a step of a filling tries where more than FEW lengths are left; else all of them.
+BRANCHES = 3
+FEW = 64
 
 Pattern = tuple[tuple[int, int], ...]
 Packing = list[tuple[Pattern, int]]
@@ -101,34 +103,36 @@ def best_fit(counts: dict[int, int], capacity: int) -> Packing:
 
 
 def fillings(room: int, lengths: list[int], left: dict[int, int], most_waste: int) -> list[Pattern]:
-    """Undominated ways to fill ``room``: nothing left over fits in, alone or in place of a shorter piece."""
+    """Undominated ways to fill ``room`` from rising ``lengths``, least waste first, up to FILLINGS of them.
+
+    Longer pieces are tried first. A filling is dominated if a piece that
+    is left over fits into its gap, alone or in place of a shorter piece.
+    """
     found: list[tuple[int, Pattern]] = []
-    visits = 0
-
-    def grow(room_left: int, at: int, chosen: list[tuple[int, int]]) -> None:
-        nonlocal visits
-        while at < len(lengths) and lengths[at] > room_left:
-            at += 1
-        if at == len(lengths) or visits > 16 * FILLINGS:
-            visits += 1
+    leaves = 0
+    width = BRANCHES if len(lengths) > FEW else FEW
+
+    def free_between(low: int, high: int, used: dict[int, int]) -> bool:
+        return any(left[x] > used.get(x, 0) for x in lengths[bisect_left(lengths, low) : bisect_right(lengths, high)])
+
+    def grow(gap: int, at: int, chosen: list[tuple[int, int]]) -> None:
+        nonlocal leaves
+        top = bisect_right(lengths, gap, 0, at)
+        if not top:
+            leaves += 1
             used = dict(chosen)
-            if room_left <= most_waste and not any(
-                left[x] > used.get(x, 0) and (x <= room_left or any(y < x <= y + room_left for y in used)) for x in lengths
-            ):
-                found.append((room_left, tuple(chosen)))
+            if gap <= most_waste and not free_between(1, gap, used) and not any(free_between(y + 1, y + gap, used) for y in used):
+                found.append((gap, tuple(chosen)))
             return
-        length = lengths[at]
-        for count in range(min(left[length], room_left // length), -1, -1):
-            if len(found) >= FILLINGS or visits > 16 * FILLINGS:
-                return
-            grow(room_left - count * length, at + 1, [*chosen, (length, count)] if count else chosen)
-
-    limit = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(limit, 3 * len(lengths) + 1000))
-    try:
-        grow(room, 0, [])
-    finally:
-        sys.setrecursionlimit(limit)
+        for i in range(top - 1, max(-1, top - 1 - width), -1):
+            length = lengths[i]
+            most = min(left[length], gap // length)
+            for count in {most, 1}:
+                if len(found) >= FILLINGS or leaves >= 4 * FILLINGS:
+                    return
+                grow(gap - count * length, i, [*chosen, (length, count)])
+
+    grow(room, len(lengths), [])
     return [p for _, p in sorted(found)]
 
 
@@ -148,7 +152,7 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search_nodes
         rest[longest] -= 1
         if not rest[longest]:
             del rest[longest]
-        options = fillings(capacity - longest, sorted(rest, reverse=True), rest, allowed)
+        options = fillings(capacity - longest, sorted(rest), rest, allowed)
         stack.append((left, done, waste, iter(options)))
 
     if size > least and counts:
