@@ -16,12 +16,16 @@ from taperline.operators.hotspots import shared_folder
 #: Spark removes the shuffle files of a finished write when this is on.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of text that a task's array code looks at together; a longer text is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers of a local session find the package beside this one; clusters have it installed.
+def share_code(spark: SparkSession) -> None:
+    """Python workers of a local session find the package where the driver does; clusters have it installed."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -290,7 +290,10 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     signed = classes.filter(F.col("signature").isNotNull())
     keys = signed.select("cid", "signature").mapInArrow(class_keys, "key long, cid long")
     buckets = keys.groupBy("key").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Stored, so that the join's own shuffle can be split where one bucket is crowded.
+    buckets = stored(buckets, "heads")
     met = stored(keys.join(buckets, "key").select("key", "cid", "head"), "buckets")
+    discard(buckets)
     rows = met.count()
     heads = sized(met.filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), rows)
     stars = near(heads, classes, rows // SYMBOLS)
@@ -322,9 +325,12 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
 
 def distinct_documents(documents: DataFrame) -> DataFrame:
     """One document of each group, with all its columns; rows that share id and text count as one."""
-    kept = near_duplicates(documents).filter("kept").select("doc_id", "text_hash").distinct()
-    kept = stored(kept, "kept").select(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash"))
-    identity = [c.alias(n) for c, n in zip([F.col("doc_id"), text_identity()[1]], ("_id", "_hash"), strict=True)]
-    rows = documents.select(F.struct("*").alias("_row"), *identity)
-    joined = rows.join(kept, F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_hash") == F.col("_k_hash")), "left_semi")
-    return joined.groupBy("_id", "_hash").agg(F.first("_row").alias("_row")).select("_row.*")
+    found = near_duplicates(documents).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
+    kept = stored(found.withColumnsRenamed({"doc_id": "_k_id", "text_hash": "_k_hash"}), "kept")
+    rows = documents.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), text_identity()[1].alias("_hash"))
+    joined = rows.join(kept, F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_hash") == F.col("_k_hash")))
+    single = joined.filter("_n = 1").select("_row.*")
+    if kept.filter("_n > 1").isEmpty():
+        return single
+    repeated = joined.filter("_n > 1").groupBy("_id", "_hash").agg(F.first("_row").alias("_row"))
+    return single.unionByName(repeated.select("_row.*"))

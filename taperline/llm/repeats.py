@@ -258,10 +258,11 @@ def repeated_stretches(documents: DataFrame) -> DataFrame:
     )
     inner = found.filter("key is null").select("doc_id", "text_hash", F.col("pos").alias("start"), "stop")
     anchor = found.filter("key is not null").drop("stop")
-    shared = anchor.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # Stored, so that the join's own shuffle can be split where one key has very many anchors.
+    shared = stored(anchor.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared")
     inner = stored(inner, "inner")
     met = stored(anchor.join(shared, "key"), "met")
-    discard(found)
+    discard(found, shared)
     classes = met.groupBy("key", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "pos")).alias("owner")
     )
