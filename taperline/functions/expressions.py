@@ -83,3 +83,23 @@ def high_intensity(df: DataFrame) -> DataFrame:
         bands = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) for c in POWER_ZONES])
         new["high_power_distance"] = bands + F.col("dist_power_gt50")
     return df.withColumns(new) if new else df
+
+
+def one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded by the exact binary value; only a true tie goes to the even digit.
+
+    Rounding functions go by the shortest decimal text instead, where 8.35 (a little less in
+    binary) looks like a tie. Ten times the fraction is 8 times plus 2 times it; both are
+    exact, and so is what their sum loses.
+    """
+    size = F.abs(value)
+    whole = F.floor(size)
+    eight, two = (size - whole) * 8, (size - whole) * 2
+    tenths = eight + two
+    lost = (eight - tenths) + two
+    digit = F.floor(tenths)
+    rest = tenths - digit
+    up = (rest > 0.5) | ((rest == 0.5) & ((lost > 0) | ((lost == 0) & (digit % 2 == 1))))
+    total = whole * 10 + digit + up.cast("int")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(total / 10).cast("string"), F.lit("."), (total % 10).cast("string"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from taperline.functions.expressions import month_bucket
 from taperline.operators.features import split_features
-from taperline.operators.hotspots import Split, lookup, settle
+from taperline.operators.hotspots import Split, lookup, stored
 from taperline.operators.metrics import confusion_counts, roc_auc
 from taperline.operators.zones import KEY
 from taperline.schema import FATIGUE_FEATURES, SESSION_TYPES, TRAINING_FEATURES
@@ -99,7 +99,7 @@ def standardize(rows: Split, scalers: DataFrame, features: tuple[str, ...]) -> S
 
 
 def trainable_players(features: DataFrame, session_type: str) -> DataFrame:
-    """Players with enough sessions of the type, enough of them complete, and both labels."""
+    """Players with enough sessions of the type, enough of them complete, both labels, and a month for each fold."""
     inputs = FATIGUE_FEATURES[session_type]
     complete = F.lit(True)
     for f in inputs:
@@ -113,10 +113,11 @@ def trainable_players(features: DataFrame, session_type: str) -> DataFrame:
             F.count_if(complete).alias("n_clean"),
             F.min(label).alias("_least"),
             F.max(label).alias("_most"),
+            F.count_distinct(F.when(complete, F.col("month"))).alias("n_months"),
         )
         .filter((F.col("n_sessions") >= MIN_TYPE_SESSIONS) & (F.col("n_clean") >= MIN_CLEAN_SESSIONS))
-        .filter("_least < _most")
-        .select("player", "n_sessions", "n_clean")
+        .filter((F.col("_least") < F.col("_most")) & (F.col("n_months") >= FOLDS))
+        .select("player", "n_sessions", "n_clean", "n_months")
     )
 
 
@@ -188,10 +189,10 @@ def _by_candidate(df: DataFrame) -> DataFrame:
 
 
 def cross_validated_auc(held_out: DataFrame) -> DataFrame:
-    """Mean AUC over the folds per player and kind; 0 where a fold holds only one class."""
+    """Mean AUC over the folds per player and kind; 0 where a fold is missing or holds only one class."""
     keys = ["session_type", "player", "model_type"]
     folds = roc_auc(held_out, [*keys, "fold"], "performance_drop", "score")
-    undefined = F.count_if(F.col("auc").isNull()) > 0
+    undefined = F.count("auc") < FOLDS
     return folds.groupBy(*keys).agg(F.when(undefined, 0.0).otherwise(F.avg("auc")).alias("auc"))
 
 
@@ -214,13 +215,13 @@ def feature_importance(model: object, features: tuple[str, ...]) -> dict[str, fl
 
 
 def _training_table(features: Split, session_type: str, inputs: tuple[str, ...]):
-    players = settle(trainable_players(features.union(), session_type).select("player"))
+    players = stored(trainable_players(features.union(), session_type).select("player"))
     rows = lookup(features.each(lambda df: drop_null_features(df, session_type)), players, ["player"], how="inner")
-    scalers = settle(player_scalers(rows.union(), inputs))
+    scalers = stored(player_scalers(rows.union(), inputs))
     scaled = standardize(rows, scalers, inputs).union()
     vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
     # Read by every fit, so written once to storage that outlives executors.
-    table = settle(vector.transform(scaled).select(*KEY, "session_type", "month", "performance_drop", "features"))
+    table = stored(vector.transform(scaled).select(*KEY, "session_type", "month", "performance_drop", "features"))
     return table, scalers
 
 
@@ -237,8 +238,8 @@ def train_type(features: Split, session_type: str, sizes: ModelSizes) -> Fatigue
         fitted = {k: c.fit(rest) for k, c in candidates(len(inputs), sizes).items()}
         scored = _by_candidate(candidate_scores(table.filter(F.col("fold") == fold), fitted))
         held_out = scored if held_out is None else held_out.union(scored)
-    held_out = settle(held_out)
-    aucs = settle(cross_validated_auc(held_out))
+    held_out = stored(held_out)
+    aucs = stored(cross_validated_auc(held_out))
     best = select_best_model(aucs)
     models = {k: c.fit(table) for k, c in candidates(len(inputs), sizes).items()}
     fitted = confusion_counts(
@@ -255,7 +256,7 @@ def train_type(features: Split, session_type: str, sizes: ModelSizes) -> Fatigue
             importances = F.when(F.col("model_type") == kind, entries).otherwise(importances)
     registry = registry.withColumn("importances", importances).withColumn("features", F.array(*map(F.lit, inputs)))
     scalers = scalers.withColumn("session_type", F.lit(session_type))
-    return FatigueModels({session_type: models}, settle(registry), scalers, held_out, aucs)
+    return FatigueModels({session_type: models}, stored(registry), scalers, held_out, aucs)
 
 
 def train_fatigue(features: Split, sizes: ModelSizes = ModelSizes()) -> FatigueModels:

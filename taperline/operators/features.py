@@ -42,7 +42,7 @@ from taperline.operators.rules import (
     vs_baseline,
     with_match_days,
 )
-from taperline.schema import PERFORMANCE_METRICS, SESSION_TYPES, TAPER_METRICS, TIE_BREAK
+from taperline.schema import EXPORT_COLUMNS, PERFORMANCE_METRICS, SESSION_TYPES, TAPER_METRICS, TIE_BREAK
 
 # training_load: acute/chronic load of training   row_load: the same over all sessions, monotony
 # match_days: days since/until a match            speed: decline against the last week
@@ -54,15 +54,23 @@ GROUPS = ("training_load", "row_load", "match_days", "speed", "baseline", "label
 GRAINS = {"day": 1, "timestamp": MICROS_PER_DAY}
 
 
+# What an export may lack: a metric that is absent is NULL throughout and sets no ranges.
+OPTIONAL = ("sprints_per_min", "power_score", "top_speed", "sprints", "duration")
+INTENSITY = ("high_speed_distance", "high_accel_count", "high_decel_count", "high_impact_count")
+
+
 def tidy_sessions(sessions: DataFrame, grain: str = "day") -> DataFrame:
     """Session type, high-intensity sums and the time axis ``t`` (days, or microseconds)."""
+    kinds = {name: dtype for name, dtype in EXPORT_COLUMNS.values()}
+    sessions = sessions.withColumns({c: F.lit(None).cast(kinds[c]) for c in OPTIONAL if c not in sessions.columns})
     if grain == "day":
         t = F.unix_date("session_date").cast("bigint")
     else:
         t = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("session_ts"))
+    sums = high_intensity(sessions)
+    sums = sums.withColumns({c: F.lit(None).cast("double") for c in INTENSITY if c not in sums.columns})
     return (
-        high_intensity(sessions)
-        .filter("player is not null")
+        sums.filter("player is not null")
         .withColumns({"t": t, "session_type": session_type(F.col("tags"))})
     )
 
@@ -81,9 +89,11 @@ def split_features(
         groups.add("match_days")
     unit = GRAINS[grain]
     rows = split_players(tidy_sessions(sessions, grain))
-    regular = regular_features(rows.regular, groups, unit, min_sessions)
-    heavy = rows.heavy if rows.heavy is None else heavy_features(rows.heavy, groups, unit)
-    return Split(regular, heavy).each(lambda df: finish_features(df, groups))
+    # A match is strong if it is in each of the metrics that the export has.
+    tapers = tuple(m for m in TAPER_METRICS if m in sessions.columns)
+    regular = regular_features(rows.regular, groups, unit, min_sessions, tapers)
+    heavy = rows.heavy if rows.heavy is None else heavy_features(rows.heavy, groups, unit, tapers)
+    return Split(regular, heavy, rows.players).each(lambda df: finish_features(df, groups))
 
 
 def build_features(sessions: DataFrame, groups: Iterable[str] = GROUPS, **options) -> DataFrame:
@@ -91,7 +101,9 @@ def build_features(sessions: DataFrame, groups: Iterable[str] = GROUPS, **option
     return split_features(sessions, groups, **options).union()
 
 
-def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: int) -> DataFrame:
+def regular_features(
+    df: DataFrame, groups: set[str], unit: int, min_sessions: int, tapers: tuple[str, ...] = TAPER_METRICS
+) -> DataFrame:
     player = W.partitionBy("player")
     rows = player.orderBy("t", *TIE_BREAK)
     axis = player.orderBy("t")
@@ -140,7 +152,7 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
         overall["mean_load"] = F.avg(training_load).over(player)
     if "taper_matches" in groups:
         overall["mean_hsd"] = F.avg(F.when(is_training, F.col("high_speed_distance"))).over(player)
-        for m in TAPER_METRICS:
+        for m in tapers:
             overall[f"_q67_{m}"] = F.percentile(F.when(is_match, F.col(m)), F.lit(TAPER_PROB)).over(player)
     if "good_matches" in groups:
         for m in PERFORMANCE_METRICS:
@@ -161,7 +173,7 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
         ).drop(*[f"_n_{g}" for g in good], *[f"_q75_{m}" for m in PERFORMANCE_METRICS])
     if "taper_matches" in groups:
         above = is_match
-        for m in TAPER_METRICS:
+        for m in tapers:
             above = above & (F.col(m) >= F.col(f"_q67_{m}"))
         df = df.withColumn("taper_good", F.coalesce(above, F.lit(False)))
         df = df.withColumn("_good", F.count_if("taper_good").over(player))
@@ -172,7 +184,7 @@ def regular_features(df: DataFrame, groups: set[str], unit: int, min_sessions: i
                 f"ahead_{k}": F.count_if("taper_good").over(axis.rangeBetween(*days_before_frame(k, unit)))
                 for k in range(1, PRE_MATCH_DAYS + 1)
             }
-        ).drop("_good", *[f"_q67_{m}" for m in TAPER_METRICS])
+        ).drop("_good", *[f"_q67_{m}" for m in tapers])
     df = df.drop("_sessions", "_matches")
     if "match_days" in groups:
         # Descending, so that the frame grows row by row instead of being re-read.

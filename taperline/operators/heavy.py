@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from taperline.functions.expressions import add_present
-from taperline.operators.hotspots import max_group_rows, salted_join, settle, slice_of
+from taperline.operators.hotspots import max_group_rows, salted_join, slice_of, stored
 from taperline.operators.quantiles import select_by_rank
 from taperline.operators.rules import (
     ACUTE_DAYS,
@@ -52,24 +52,24 @@ def training_load() -> Column:
     return F.when(is_training(), F.col("player_load"))
 
 
-def heavy_features(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
+def heavy_features(df: DataFrame, groups: set[str], unit: int, tapers: tuple[str, ...] = TAPER_METRICS) -> DataFrame:
     keep = [c for c in df.columns if c not in ("salt", "n_salts")]
     limit = max(max_group_rows(df.sparkSession), CHRONIC_ROWS)
     metrics = [m for m in PERFORMANCE_METRICS if m in df.columns]
     if groups & {"good_matches", "taper_matches", "baseline"}:
-        df = _with_bars(df, groups, metrics)
+        df = _with_bars(df, groups, metrics, tapers)
     if "means" in groups:
         keep += ["mean_load"]
         if "mean_load" not in df.columns:
             # One row per heavy player.
-            df = df.join(F.broadcast(settle(df.groupBy("player").agg(F.avg(training_load()).alias("mean_load")))), "player")
+            df = df.join(stored(df.groupBy("player").agg(F.avg(training_load()).alias("mean_load"))), "player")
     if "good_matches" in groups:
         keep += [f"good_{m}" for m in PERFORMANCE_METRICS]
     if "taper_matches" in groups:
         keep += ["taper_good", "mean_hsd"] if "means" in groups else ["taper_good", "mean_load", "mean_hsd"]
     if "baseline" in groups:
         keep += [f"{m}_vs_baseline" for m in metrics]
-    df = salted_join(df, settle(_dates(df, groups, unit)), ["player", "t"])
+    df = salted_join(df, stored(_dates(df, groups, unit)), ["player", "t"])
     if "good_matches" in groups:
         keep += [f"{n}_{m}" for m in PERFORMANCE_METRICS for n in ("ahead", "prepared")]
     if "taper_matches" in groups:
@@ -100,7 +100,7 @@ def heavy_features(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     return df.select(*keep)
 
 
-def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame:
+def _with_bars(df: DataFrame, groups: set[str], metrics: list[str], tapers: tuple[str, ...]) -> DataFrame:
     """What a session must reach to be strong, and the features that compare with it.
 
     The joined tables hold one row per heavy player, or one per session type of it: a
@@ -109,22 +109,22 @@ def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame
     keys = ["player", "session_type"]
     wanted = {f"_q75_{m}": (m, BASELINE_PROB) for m in metrics}
     if "taper_matches" in groups:
-        wanted |= {f"_q67_{m}": (m, TAPER_PROB) for m in TAPER_METRICS}
+        wanted |= {f"_q67_{m}": (m, TAPER_PROB) for m in tapers}
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_like"),
         F.avg(training_load()).alias("_mean_load"),
         F.avg("high_speed_distance").alias("_mean_hsd") if "taper_matches" in groups else F.lit(None).alias("_mean_hsd"),
     )
     stats = stats.join(select_by_rank(df, keys, wanted, F.lit(1)), keys, "left")
-    stats = settle(stats)
-    df = df.join(F.broadcast(stats.drop("_mean_load", "_mean_hsd")), keys)
+    stats = stored(stats)
+    df = df.join(stats.drop("_mean_load", "_mean_hsd"), keys)
     marks = {}
     if "good_matches" in groups:
         for m in PERFORMANCE_METRICS:
             marks[f"good_{m}"] = good_match(is_match(), F.col("_like"), F.col(m) >= F.col(f"_q75_{m}"))
     if "taper_matches" in groups:
         above = is_match() & (F.col("_like") >= TAPER_MIN_MATCHES)
-        for m in TAPER_METRICS:
+        for m in tapers:
             above = above & (F.col(m) >= F.col(f"_q67_{m}"))
         marks["taper_good"] = F.coalesce(above, F.lit(False))
     if "baseline" in groups:
@@ -139,8 +139,8 @@ def _with_bars(df: DataFrame, groups: set[str], metrics: list[str]) -> DataFrame
     )
     totals = stats.groupBy("player").agg(F.sum("_like").alias("_sessions"))
     found = df.groupBy("player").agg(*[F.count_if(F.col(g)).alias(f"_n_{g}") for g in marks])
-    found = settle(found.join(totals, "player").join(means, "player", "left"))
-    df = df.join(F.broadcast(found), "player")
+    found = stored(found.join(totals, "player").join(means, "player", "left"))
+    df = df.join(found, "player")
     for g in marks:
         enough = F.col(f"_n_{g}") >= (TAPER_MIN_GOOD if g == "taper_good" else ZONE_MIN_GOOD)
         if g == "taper_good":
@@ -231,7 +231,7 @@ def _positions(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
         same_date = W.partitionBy("player", "t").orderBy("_slice").rowsBetween(*PAST)
         before["_load_before"] = F.sum("_slice_load").over(same_date)
         before["_trainings_before"] = F.coalesce(F.sum("_slice_trainings").over(same_date), F.lit(0))
-    slices = settle(slices.withColumns(before).drop(*held))
+    slices = stored(slices.withColumns(before).drop(*held))
     df = df.join(slices, keys)
     inside = W.partitionBy(*keys).orderBy(*TIE_BREAK)
     df = df.withColumn("_at", F.col("_start") + F.row_number().over(inside) - 1)
@@ -275,7 +275,7 @@ def _row_frames(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
     firsts = df.groupBy("player", "session_type", "_block").agg(first)
     # One row per block and type.
     chain = W.partitionBy("player", "session_type").orderBy("_block")
-    firsts = settle(firsts.select("player", "session_type", "_block", F.lead("_first").over(chain).alias("_following")))
+    firsts = stored(firsts.select("player", "session_type", "_block", F.lead("_first").over(chain).alias("_following")))
     df = df.join(firsts, ["player", "_block", "session_type"]).withColumns(
         {"_next": F.lead(F.struct("speed_decline")).over(like)}
     )

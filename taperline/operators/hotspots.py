@@ -9,6 +9,9 @@ plan is not built at all.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -19,7 +22,6 @@ from pyspark.sql import functions as F
 
 MAX_GROUP_ROWS = "spark.taperline.maxGroupRows"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-MAX_SALTS = 512
 
 
 @dataclass(frozen=True)
@@ -28,12 +30,14 @@ class Split:
 
     regular: DataFrame
     heavy: DataFrame | None = None
+    #: The heavy players, stored.
+    players: DataFrame | None = None
 
     def union(self) -> DataFrame:
         return self.regular if self.heavy is None else self.regular.unionByName(self.heavy)
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Split:
-        return Split(change(self.regular), None if self.heavy is None else change(self.heavy))
+        return Split(change(self.regular), None if self.heavy is None else change(self.heavy), self.players)
 
 
 def max_group_rows(spark: SparkSession) -> int:
@@ -41,26 +45,27 @@ def max_group_rows(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it; a scratch one in local mode."""
+    """The folder all executors see, as the cluster names it.
+
+    Only a session whose driver is its one executor may do without the setting; its folder
+    is deleted when the process ends.
+    """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="taperline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small table through reliable storage, which outlives executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    return folder.rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write a large table that several passes read: columnar, so each reads what it needs."""
+    """Write a table that several passes read to the shared folder, where it outlives executors.
+
+    It is columnar, so each pass reads what it needs, and its size is known, so the planner
+    broadcasts it only if it is small.
+    """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -69,7 +74,7 @@ def stored(df: DataFrame) -> DataFrame:
 def heavy_players(sessions: DataFrame) -> DataFrame:
     """(player, n_salts) of the heavy players: at most rows / max_group_rows entries."""
     limit = max_group_rows(sessions.sparkSession)
-    salts = F.least(F.lit(MAX_SALTS), F.ceil(F.col("n") / limit).cast("int"))
+    salts = F.ceil(F.col("n") / limit).cast("int")
     return (
         sessions.groupBy("player")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -83,24 +88,24 @@ def split_players(sessions: DataFrame) -> Split:
     big = heavy_players(sessions)
     if big.isEmpty():
         return Split(sessions)
-    big = F.broadcast(settle(big))
+    big = stored(big)
     spread = F.pmod(F.xxhash64("t", "k1", "k2", "k3"), F.col("n_salts")).cast("int")
-    return Split(sessions.join(big, "player", "left_anti"), sessions.join(big, "player").withColumn("salt", spread))
+    heavy = sessions.join(big, "player").withColumn("salt", spread)
+    return Split(sessions.join(big, "player", "left_anti"), heavy, big.select("player"))
 
 
 def lookup(rows: Split, table: DataFrame, keys: list[str], how: str = "left") -> Split:
     """Attach a per-player table to session rows.
 
     Regular rows meet the table by an ordinary equi-join. The heavy players' part of the
-    table is a few entries for each of at most rows / max_group_rows players, so it is
-    broadcast and their sessions stay where they are.
+    table is a few entries for each of at most rows / max_group_rows players; it is stored,
+    so it is broadcast if its size allows, and otherwise the join's shuffle can be split.
     """
     regular = rows.regular.join(table, keys, how)
     if rows.heavy is None:
         return Split(regular)
-    players = F.broadcast(rows.heavy.select("player").distinct())
-    few = F.broadcast(table.join(players, "player", "left_semi"))
-    return Split(regular, rows.heavy.join(few, keys, how))
+    few = stored(table.join(rows.players, "player", "left_semi"))
+    return Split(regular, rows.heavy.join(few, keys, how), rows.players)
 
 
 def salted_join(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from taperline.operators.hotspots import Split, settle
+from taperline.operators.hotspots import Split, max_group_rows, stored
 
 CELLS = 4096
 
@@ -41,17 +41,18 @@ def grouped_quantiles(
 
 
 def select_by_rank(df: DataFrame, keys: list[str], quantiles: dict[str, tuple[str, float]], freq: Column) -> DataFrame:
-    """The same quantiles without bringing a group together.
+    """The same quantiles without bringing a group together, equal to the last bit.
 
     Equal values are first counted, which spreads a group over (group, value). Then the
     value range is cut into cells; cell counts tell which few cells hold the wanted ranks,
-    those are cut again, and only what is left is ordered. The tables of cells kept are
-    broadcast: at most two per group and probability, of the heavy groups only.
+    and those are cut again until each is small; only what is left is ordered. Cells kept are
+    at most two per group and probability.
     """
     columns = sorted({c for c, _ in quantiles.values()})
     probs = sorted({p for _, p in quantiles.values()})
+    limit = max_group_rows(df.sparkSession)
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
-    counted = (
+    counted = stored(
         df.select(*keys, freq.cast("bigint").alias("w"), F.explode(pairs).alias("pair"))
         .select(*keys, "w", "pair.name", "pair.v")
         .filter("v is not null and w > 0")
@@ -59,22 +60,26 @@ def select_by_rank(df: DataFrame, keys: list[str], quantiles: dict[str, tuple[st
         .agg(F.sum("w").alias("w"))
     )
     group = keys + ["name"]
-    totals = counted.groupBy(*group).agg(F.sum("w").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    totals = counted.groupBy(*group).agg(
+        F.sum("w").alias("n"), F.count(F.lit(1)).alias("values"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
     ranks = []
     for p in probs:
         at = (F.col("n") - 1) * F.lit(p)
         ranks += [F.floor(at), F.ceil(at)]
-    cells = totals.select(
-        *group, "n", "low", "high", F.lit(0).cast("bigint").alias("before"), F.array(*ranks).alias("ranks")
-    )
+    known = ["n", "values", "low", "high", "before", "ranks"]
+    cells = stored(totals.select(*group, "n", "values", "low", "high", F.lit(0).cast("bigint").alias("before"), F.array(*ranks).alias("ranks")))
     path = list(group)
     rows = counted
-    for level in ("cell1", "cell2"):
-        rows = rows.drop("n", "low", "high", "before", "ranks").join(F.broadcast(cells), path)
-        rows = rows.withColumn(level, _cell(F.col("v"), F.col("low"), F.col("high")))
-        cells = settle(_cells_of_ranks(rows, path, level))
+    crowd, before = _crowd(cells), None
+    while crowd > limit and crowd != before:
+        level = f"cell{len(path) - len(group) + 1}"
+        cell = _cell(F.col("v"), F.col("low"), F.col("high"), even=path != group)
+        rows = rows.drop(*known).join(cells, path).withColumn(level, cell)
+        cells = stored(_cells_of_ranks(rows, path, level))
         path = path + [level]
-    rows = rows.drop("n", "low", "high", "before", "ranks").join(F.broadcast(cells), path)
+        crowd, before = _crowd(cells), crowd
+    rows = rows.drop(*known).join(cells, path)
     upto = F.sum("w").over(W.partitionBy(*path).orderBy("v"))
     rows = rows.withColumn("stop", F.col("before") + upto).withColumn("start", F.col("stop") - F.col("w"))
     picks = []
@@ -84,15 +89,21 @@ def select_by_rank(df: DataFrame, keys: list[str], quantiles: dict[str, tuple[st
         lower, upper = F.floor(at), F.ceil(at)
         v_lower = F.max(F.when(mine & (lower >= F.col("start")) & (lower < F.col("stop")), F.col("v")))
         v_upper = F.max(F.when(mine & (upper >= F.col("start")) & (upper < F.col("stop")), F.col("v")))
-        share = F.max(F.when(mine, at - lower))
-        picks.append(F.when(share == 0, v_lower).otherwise((1 - share) * v_lower + share * v_upper).alias(out))
-    return settle(rows.groupBy(*keys).agg(*picks))
+        # Where both ends are equal, interpolating would round; else in the order of the built-in.
+        down, up = F.max(F.when(mine, upper - at)), F.max(F.when(mine, at - lower))
+        picks.append(F.when(v_lower == v_upper, v_lower).otherwise(down * v_lower + up * v_upper).alias(out))
+    return stored(rows.groupBy(*keys).agg(*picks))
+
+
+def _crowd(cells: DataFrame) -> int:
+    """Different values in the fullest cell that can still be cut."""
+    return cells.agg(F.max(F.when(F.col("low") < F.col("high"), F.col("values")))).first()[0] or 0
 
 
-def _cell(v: Column, low: Column, high: Column) -> Column:
-    # On a log scale a few far-off values do not push all others into one cell.
+def _cell(v: Column, low: Column, high: Column, even: bool) -> Column:
+    # First on a log scale: a few far-off values do not push all others into one cell.
     def scale(c: Column) -> Column:
-        return F.signum(c) * F.log1p(F.abs(c))
+        return c if even else F.signum(c) * F.log1p(F.abs(c))
 
     step = F.try_divide((scale(v) - scale(low)) * CELLS, scale(high) - scale(low))
     return F.least(F.lit(CELLS - 1), F.coalesce(F.floor(step), F.lit(0))).cast("int")
@@ -101,6 +112,7 @@ def _cell(v: Column, low: Column, high: Column) -> Column:
 def _cells_of_ranks(rows: DataFrame, path: list[str], level: str) -> DataFrame:
     cells = rows.groupBy(*path, level).agg(
         F.sum("w").alias("held"),
+        F.count(F.lit(1)).alias("values"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
         F.max("n").alias("n"),

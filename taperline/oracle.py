@@ -6,10 +6,35 @@ sums are taken directly, and quantiles come from ``quantile_cont``.
 
 from __future__ import annotations
 
-from taperline.operators.zones import MATCH_TARGETS, TRAINING_TARGETS
-from taperline.schema import FATIGUE_FEATURES, PERFORMANCE_METRICS, TRAINING_FEATURES
+from taperline.queries import HEAVY
 from taperline.sources.bindings import EVENTS_SQL, SESSIONS_SQL, SPARSE_SQL
 
+# Fixed values, written out again so that a wrong one on either side shows.
+TRAINING_TARGETS = {
+    "daily_load": "player_load",
+    "acwr": "training_acwr",
+    "high_speed_dist": "high_speed_distance",
+    "high_intensity_actions": "high_accel_count",
+}
+MATCH_TARGETS = {
+    "distance_per_min": "distance_per_min",
+    "sprint_count": "sprints",
+    "high_intensity_distance": "high_speed_distance",
+}
+PERFORMANCE_METRICS = ("distance_per_min", "sprints_per_min", "power_score")
+MATCH_INPUTS = (
+    "acwr",
+    "load_monotony",
+    "load_strain",
+    "high_speed_distance",
+    "high_accel_count",
+    "high_decel_count",
+    "high_impact_count",
+    "days_since_match",
+)
+TRAINING_FEATURES = (*MATCH_INPUTS, "training_acwr", "days_until_match")
+FEATURES = {"match": MATCH_INPUTS, "training": TRAINING_FEATURES}
+
 KEY = "player, session_date, k1, k2, k3"
 RAW = SESSIONS_SQL.format(lineitem="lineitem", supplier="supplier")
 SPARSE = SPARSE_SQL.format(orders="orders")
@@ -229,14 +254,75 @@ def _baselines() -> str:
       FROM s GROUP BY player, session_type) USING (player, session_type)"""
 
 
+def clean(kind: str) -> str:
+    present = " AND ".join(f"{x} IS NOT NULL" for x in FEATURES[kind])
+    return f"(SELECT *, strftime(session_date, '%Y-%m') AS month FROM f WHERE session_type = '{kind}' AND {present})"
+
+
 def _standard() -> str:
-    inputs = FATIGUE_FEATURES["match"]
-    present = " AND ".join(f"{x} IS NOT NULL" for x in inputs)
-    z = ", ".join(
-        f"round(coalesce(({x} - avg({x}) OVER ({P})) / nullif(stddev_pop({x}) OVER ({P}), 0), 0), 6) AS {x}"
-        for x in inputs
-    )
-    return f"SELECT {KEY}, {z} FROM (SELECT * FROM f WHERE session_type = 'match' AND {present})"
+    parts = []
+    for kind, inputs in FEATURES.items():
+        z = ", ".join(
+            f"round(coalesce(({x} - avg({x}) OVER ({P})) / nullif(stddev_pop({x}) OVER ({P}), 0), 0), 6) AS {x}"
+            if x in inputs
+            else f"NULL AS {x}"
+            for x in FEATURES["training"]
+        )
+        parts.append(f"SELECT {KEY}, session_type, {z} FROM {clean(kind)}")
+    return " UNION ALL ".join(parts)
+
+
+def _folds() -> str:
+    """Months from the largest on, each to the fold that holds the least so far."""
+    parts = [
+        f"""SELECT '{kind}' AS session_type, month, fold, n FROM (WITH RECURSIVE c AS (
+          SELECT month, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, month) AS i FROM {clean(kind)} GROUP BY month),
+        r AS (SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS x, CAST(0 AS BIGINT) AS y, CAST(0 AS BIGINT) AS z,
+            CAST(NULL AS VARCHAR) AS month, CAST(NULL AS INTEGER) AS fold, CAST(0 AS BIGINT) AS n
+          UNION ALL SELECT c.i, x + CASE WHEN g = 0 THEN c.n ELSE 0 END, y + CASE WHEN g = 1 THEN c.n ELSE 0 END,
+            z + CASE WHEN g = 2 THEN c.n ELSE 0 END, c.month, g, c.n
+          FROM (SELECT *, CASE WHEN x <= y AND x <= z THEN 0 WHEN y <= z THEN 1 ELSE 2 END AS g FROM r) q JOIN c ON c.i = q.i + 1)
+        SELECT * FROM r WHERE month IS NOT NULL)"""
+        for kind in FEATURES
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _trainable() -> str:
+    parts = [
+        f"""SELECT player, count(*) AS n_sessions, count(*) FILTER (WHERE {ok}) AS n_clean,
+          count(DISTINCT strftime(session_date, '%Y-%m')) FILTER (WHERE {ok}) AS n_months, '{kind}' AS session_type
+          FROM f WHERE session_type = '{kind}' GROUP BY player HAVING count(*) >= 20 AND count(*) FILTER (WHERE {ok}) >= 15
+          AND min(performance_drop) FILTER (WHERE {ok}) < max(performance_drop) FILTER (WHERE {ok})
+          AND count(DISTINCT strftime(session_date, '%Y-%m')) FILTER (WHERE {ok}) >= 3"""
+        for kind, ok in ((k, " AND ".join(f"{x} IS NOT NULL" for x in xs)) for k, xs in FEATURES.items())
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _fold_auc() -> str:
+    return f"""WITH v AS MATERIALIZED (SELECT player, k2 % 3 AS fold, CASE WHEN k1 % 3 = 0 THEN 1 ELSE 0 END AS label,
+        (k3 % 97) / 97.0 AS score FROM ({RAW}) WHERE CAST(substr(player, 2) AS BIGINT) % 7 <> 0 OR k2 % 3 <> 1),
+      m AS (SELECT *, rank() OVER (PARTITION BY player, fold ORDER BY score)
+        + (count(*) OVER (PARTITION BY player, fold, score) - 1) / 2.0 AS mid,
+        count(*) FILTER (WHERE label = 1) OVER (PARTITION BY player, fold) AS p,
+        count(*) FILTER (WHERE label = 0) OVER (PARTITION BY player, fold) AS n FROM v),
+      a AS (SELECT player, fold, CASE WHEN p > 0 AND n > 0 THEN
+        (sum(CASE WHEN label = 1 THEN mid END) - p * (p + 1) / 2.0) / (p * n) END AS auc FROM m GROUP BY player, fold, p, n)
+      SELECT 'match' AS session_type, player, 'Any' AS model_type,
+        round(CASE WHEN count(auc) < 3 THEN 0.0 ELSE avg(auc) END, 6) AS auc FROM a GROUP BY player"""
+
+
+def _record() -> str:
+    parts = [
+        f"SELECT player, 'training' AS session_type, md_key AS zone_key, '{t}' AS target FROM zones" for t in TRAINING_TARGETS
+    ] + [f"SELECT player, 'match' AS session_type, metric AS zone_key, '{t}' AS target FROM mzones" for t in MATCH_TARGETS]
+    return f"""SELECT w.player, position, days_until_next_match, z.zones,
+      CASE WHEN w.md IS NOT NULL THEN t.plan END AS plan, load_status, round(load_target, 6) AS load_target, within_target
+      FROM whole w LEFT JOIN (SELECT player, session_type, string_agg(zone_key || ':' || target, ',' ORDER BY zone_key, target) AS zones
+        FROM ({' UNION ALL '.join(parts)}) GROUP BY player, session_type) z USING (player, session_type)
+      LEFT JOIN (SELECT player, string_agg(md || ':' || sample_count, ',' ORDER BY md) AS plan FROM taper GROUP BY player) t
+        ON t.player = w.player"""
 
 
 def _best() -> str:
@@ -293,8 +379,6 @@ def all_sql() -> dict[str, str]:
     ]
     split = f"""CAST(('0x' || substr(md5(concat_ws('|', player, CAST(session_date AS VARCHAR), k1, k2, k3)), 1, 8))
       AS BIGINT) % 100 < 20"""
-    match_inputs = FATIGUE_FEATURES["match"]
-    all_inputs = " AND ".join(f"{x} IS NOT NULL" for x in TRAINING_FEATURES)
     n_columns = 29
     sql = {
         "read_sessions": f"""SELECT {KEY}, CAST(session_date AS TIMESTAMP) AS session_ts, tags, position, player_load,
@@ -323,8 +407,9 @@ def all_sql() -> dict[str, str]:
           + coalesce(dist_power_35_40, 0) + coalesce(dist_power_40_45, 0) + coalesce(dist_power_45_50, 0)
           + dist_power_gt50 AS high_power_distance FROM ({RAW})""",
         "safe_ratio": f"SELECT {KEY}, round(coalesce(player_load / nullif(sprints_per_min, 0), 1), 6) AS ratio FROM ({RAW})",
-        "drop_null_features": f"""SELECT {KEY}, days_since_match, days_until_match FROM f
-          WHERE session_type = 'training' AND {all_inputs}""",
+        "drop_null_features": " UNION ALL ".join(
+            f"SELECT {KEY}, session_type, days_since_match, days_until_match FROM {clean(kind)}" for kind in FEATURES
+        ),
         "month_bucket": f"SELECT {KEY}, strftime(session_date, '%Y-%m') AS month FROM ({RAW})",
         "md_key": f"SELECT {KEY}, 'MD-' || days_until_match AS md_key FROM f WHERE days_until_match BETWEEN 1 AND 7",
         "training_acute_load": f"SELECT {KEY}, training_acute_load FROM f",
@@ -442,9 +527,17 @@ def all_sql() -> dict[str, str]:
           round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM zoned), 6) AS share FROM zoned GROUP BY 1""",
         "taper_series": f"""SELECT player, t.md, md_key, {r6('load_percentage', 'high_intensity')},
           coalesce(t.md = days_until_next_match, false) AS is_today FROM latest l JOIN taper t USING (player)""",
-        "fatigue_features": f"""SELECT {KEY}, {', '.join(f'round({x}, 6) AS {x}' if x in ('acwr', 'load_monotony',
-          'load_strain') else x for x in match_inputs)}, performance_drop FROM f WHERE session_type = 'match'
-          AND {' AND '.join(f'{x} IS NOT NULL' for x in match_inputs)}""",
+        "fatigue_features": f"""SELECT {KEY}, session_type, strftime(session_date, '%Y-%m') AS month,
+          {', '.join(f'round({x}, 6) AS {x}' if x in ('acwr', 'load_monotony', 'load_strain', 'training_acwr') else x
+          for x in FEATURES['training'])}, performance_drop FROM f""",
+        "month_group_folds": _folds(),
+        "trainable_players": _trainable(),
+        "fold_auc": _fold_auc(),
+        "insight_record": _record(),
+        "profile": """SELECT 'zones' AS artefact, count(*) AS n FROM (SELECT player FROM zones UNION SELECT player FROM mzones)
+          UNION ALL SELECT 'taper', count(DISTINCT player) FROM taper""",
+        "metrics_absent": "SELECT player, md, metric, n FROM zones_all WHERE metric <> 'power_score'",
         "standardize_per_player": _standard(),
     }
-    return {name: with_views(text) for name, text in sql.items()}
+    out = {name: with_views(text) for name, text in sql.items()}
+    return out | {f"{name}_heavy": out[name] for name in HEAVY}

@@ -14,7 +14,7 @@ from taperline.operators.fatigue import (
     train_fatigue,
 )
 from taperline.operators.features import performance_target, split_features
-from taperline.operators.hotspots import Split, settle, stored
+from taperline.operators.hotspots import Split, stored
 from taperline.operators.taper import taper_plan
 from taperline.operators.zones import KEY, match_zones, training_zones, zone_players, zone_ranges
 from taperline.plans import dashboard, insights
@@ -56,11 +56,11 @@ class LoadAnalytics:
             groups.update(FATIGUE_GROUPS)
         features = split_features(sessions, groups)
         features = features.each(lambda df: stored(df.drop(*UNREAD)))
-        ranges = settle(zone_ranges(features))
+        ranges = stored(zone_ranges(features))
         self.tables = {
             "training_zones": training_zones(ranges),
             "match_zones": match_zones(ranges),
-            "taper": settle(taper_plan(features)),
+            "taper": stored(taper_plan(features)),
         }
         if self.with_fatigue:
             self.fatigue = train_fatigue(fatigue_inputs(features), self.sizes)
@@ -96,17 +96,21 @@ class LoadAnalytics:
         ``error`` says so.
         """
         self._need_training()
+        if sessions.isEmpty():
+            raise ValueError("There are no sessions to report on")
         features = split_features(sessions, PREDICT_GROUPS)
         rows = insights.insight_rows(features, as_of, all_sessions)
         if self.fatigue.models:
             rows = self._add_fatigue(rows)
         elif taper_needs_model:
             rows = rows.each(lambda df: df.withColumn("model_type", F.lit(None).cast("string")))
-        rows = insights.add_zones(rows, self.tables["training_zones"], self.tables["match_zones"])
+        zoned = self.tables["training_zones"], self.tables["match_zones"]
+        rows = insights.add_zones(rows, *zoned)
+        rows = insights.add_strategies(rows, *zoned, self.tables["taper"])
         out = insights.add_taper(rows, self.tables["taper"], taper_needs_model).union()
         if players is None:
             return out
-        missing = F.when(F.col("latest_date").isNull(), F.concat(F.lit("No data found for player "), F.col("player")))
+        missing = F.when(F.col("latest_date").isNull(), F.concat(F.lit("no sessions of player "), F.col("player")))
         return players.select("player").distinct().join(out, "player", "left").withColumn("error", missing)
 
     def _add_fatigue(self, rows: Split) -> Split:
@@ -123,14 +127,13 @@ class LoadAnalytics:
         return rows.each(attach)
 
     def dashboard(self, rows: DataFrame) -> dict[str, DataFrame]:
-        out = {
+        """Four tables; that of risks is empty where no model passed the gate."""
+        return {
             "player_status": dashboard.player_status(rows),
             "match_preparation": dashboard.match_preparation(rows),
             "taper_recommendations": dashboard.taper_recommendations(rows),
+            "fatigue_risk": dashboard.fatigue_risk(insights.with_risk_columns(rows)),
         }
-        if "risk_score" in rows.columns:
-            out["fatigue_risk"] = dashboard.fatigue_risk(rows)
-        return out
 
     def save(self, path: str) -> None:
         self._need_training()
@@ -144,7 +147,7 @@ class LoadAnalytics:
 
     def _need_training(self) -> None:
         if not self.is_trained:
-            raise ValueError("Model has not been trained yet. Call fit() first.")
+            raise ValueError("fit() comes first: nothing has been learned yet")
 
 
 def train_and_report(

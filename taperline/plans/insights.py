@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taperline.functions.expressions import percent_of
+from taperline.functions.expressions import one_decimal, percent_of
 from taperline.operators.features import latest_session
 from taperline.operators.hotspots import Split, lookup
 from taperline.schema import TIE_BREAK, TRAINING_FEATURES
@@ -100,9 +100,8 @@ def load_status() -> dict[str, Column]:
     message = F.create_map(*[F.lit(x) for pair in STATUS_MESSAGES.items() for x in pair])
 
     def advice(text: str, gap: Column) -> Column:
-        # Half-way cases round to the even digit.
-        percent = F.bround(F.try_divide(gap, load) * 100, 1)
-        return F.when(percent.isNotNull(), F.format_string(text, percent))
+        percent = F.try_divide(gap, load) * 100
+        return F.when(percent.isNotNull(), F.format_string(text.replace("%.1f", "%s"), one_decimal(percent)))
 
     adjustment = F.when(status == "UNDERLOADED", advice(INCREASE, low - load)).when(
         status == "OVERLOADED", advice(DECREASE, load - high)
@@ -110,6 +109,20 @@ def load_status() -> dict[str, Column]:
     return {"load_status": status, "load_message": message[status], "load_adjustment": adjustment}
 
 
+def player_zones(training_zones: DataFrame, match_zones: DataFrame) -> DataFrame:
+    """All zones per player and session type as one array of (key, target, lo, hi): at most 7 x 4 or 3 x 3 entries."""
+    zone = F.sort_array(F.collect_list(F.struct("zone_key", "target", "lo", "hi")))
+    return _long_zones(training_zones, match_zones).groupBy("player", "session_type").agg(zone.alias("optimal_zones"))
+
+
+def add_strategies(rows: Split, training_zones: DataFrame, match_zones: DataFrame, taper: DataFrame) -> Split:
+    """The zones of the session's type, and the whole taper plan within a week of a match."""
+    rows = lookup(rows, player_zones(training_zones, match_zones), ["player", "session_type"])
+    rows = lookup(rows, taper_strategies(taper), ["player"])
+    near = F.when(F.col("md").isNotNull(), F.col("taper_strategy"))
+    return rows.each(lambda df: df.withColumn("taper_strategy", near))
+
+
 def add_taper(rows: Split, taper: DataFrame, needs_model: bool = False) -> Split:
     """Advice for the day from the player's taper plan, within a week of a match.
 
@@ -140,6 +153,17 @@ def taper_strategies(taper: DataFrame) -> DataFrame:
     return taper.groupBy("player").agg(F.sort_array(F.collect_list(day)).alias("taper_strategy"))
 
 
+def with_risk_columns(rows: DataFrame) -> DataFrame:
+    """Rows of a squad without any model carry no risk."""
+    kinds = {
+        "risk_score": "double",
+        "interpretation": "string",
+        "confidence": "double",
+        "key_factors": "array<struct<feature:string,importance:double,value:double,status:string,impact:string>>",
+    }
+    return rows.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in rows.columns})
+
+
 def risk_band(risk: Column) -> Column:
     return (
         F.when(risk > HIGH_RISK, "HIGH RISK")
@@ -193,9 +217,7 @@ def key_factors(importances: Column) -> Column:
     return F.transform(top_factors(importances), describe)
 
 
-def applicable_zones(rows: Split, training_zones: DataFrame, match_zones: DataFrame) -> DataFrame:
-    """All zones of the session's own type, as (key, target, lo, hi)."""
-
+def _long_zones(training_zones: DataFrame, match_zones: DataFrame) -> DataFrame:
     def long(zones: DataFrame, kind: str, key: str) -> DataFrame:
         targets = [c[:-3] for c in zones.columns if c.endswith("_lo")]
         entries = F.array(
@@ -206,8 +228,12 @@ def applicable_zones(rows: Split, training_zones: DataFrame, match_zones: DataFr
         )
         return zones.select("player", F.lit(kind).alias("session_type"), F.col(key).alias("zone_key"), F.inline(entries))
 
-    zones = long(training_zones, "training", "md_key").union(long(match_zones, "match", "metric"))
-    return lookup(rows, zones, ["player", "session_type"], how="inner").union()
+    return long(training_zones, "training", "md_key").union(long(match_zones, "match", "metric"))
+
+
+def applicable_zones(rows: Split, training_zones: DataFrame, match_zones: DataFrame) -> DataFrame:
+    """All zones of the session's own type, as (key, target, lo, hi)."""
+    return lookup(rows, _long_zones(training_zones, match_zones), ["player", "session_type"], how="inner").union()
 
 
 def insight_record(rows: DataFrame) -> DataFrame:
@@ -228,6 +254,7 @@ def insight_record(rows: DataFrame) -> DataFrame:
         "latest_date",
         F.struct(F.col("player").alias("name"), "position").alias("player_info"),
         "days_until_next_match",
+        *[c for c in ("optimal_zones", "taper_strategy") if c in rows.columns],
         block("daily_load_lo", *targets).alias("match_prep_targets"),
         block("load_status", "load_status", "load_message", "load_adjustment").alias("readiness"),
         block("risk_score", "risk_score", "interpretation", "confidence", "key_factors", "confusion").alias(

@@ -13,11 +13,11 @@ from taperline.functions import expressions as E
 from taperline.operators import fatigue as M
 from taperline.operators import features as C
 from taperline.operators import metrics, taper, zones
-from taperline.operators.hotspots import Split, settle, shared_folder, stored
+from taperline.operators.hotspots import MAX_GROUP_ROWS, Split, shared_folder, stored
 from taperline.operators.quantiles import grouped_quantiles
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import LoadAnalytics
-from taperline.schema import EXPORT_COLUMNS, PERFORMANCE_METRICS, TRAINING_FEATURES
+from taperline.schema import EXPORT_COLUMNS, PERFORMANCE_METRICS, SESSION_TYPES, TRAINING_FEATURES
 from taperline.sources import ingest
 from taperline.sources.bindings import event_sessions, sessions, sparse_sessions
 
@@ -25,6 +25,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = zones.KEY
 AS_OF = "1998-07-01"
+# Queries that also run by the plan for oversized players.
+HEAVY = (
+    "good_matches_any",
+    "good_matches_all",
+    "training_zones",
+    "match_zones",
+    "taper_plan",
+    "exact_quantile",
+    "vs_baseline",
+    "load_status",
+    "training_acwr",
+    "next_speed_decline",
+    "subday_training_load",
+    "subday_match_days",
+)
 # Smaller than the library defaults, so that the checks stay short.
 CHECK_SIZES = M.ModelSizes(trees=20, boosting_rounds=5, network_iterations=20)
 
@@ -130,7 +145,8 @@ def safe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_null_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = M.fatigue_features(sessions(spark, sf_dir)).union()
-    return M.drop_null_features(rows, "training").select(*KEY, "days_since_match", "days_until_match")
+    clean = [M.drop_null_features(rows, kind) for kind in SESSION_TYPES]
+    return clean[0].unionByName(clean[1]).select(*KEY, "session_type", "days_since_match", "days_until_match")
 
 
 def month_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,7 +378,7 @@ def _reported(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> S
 
 
 def _zones(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    ranges = settle(_ranges(spark, sf_dir))
+    ranges = stored(_ranges(spark, sf_dir))
     return zones.training_zones(ranges), zones.match_zones(ranges)
 
 
@@ -372,7 +388,7 @@ def _zoned(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Spli
 
 def _tapered(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> DataFrame:
     table = sessions(spark, sf_dir)
-    plan = settle(taper.taper_plan(taper.taper_features(table)))
+    plan = stored(taper.taper_plan(taper.taper_features(table)))
     return insights.add_taper(_reported(spark, sf_dir, all_sessions), plan).union()
 
 
@@ -464,17 +480,19 @@ def taper_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fatigue_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.fatigue_features(sessions(spark, sf_dir)).union().filter("session_type = 'match'")
-    inputs = [f for f in M.FATIGUE_FEATURES["match"]]
-    return rounded(rows.na.drop(subset=inputs).select(*KEY, *inputs, "performance_drop"), "acwr", "load_monotony", "load_strain")
+    rows = M.fatigue_features(sessions(spark, sf_dir)).union()
+    columns = [*KEY, "session_type", "month", *TRAINING_FEATURES, "performance_drop"]
+    return rounded(rows.select(*columns), "acwr", "load_monotony", "load_strain", "training_acwr")
 
 
 def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = M.FATIGUE_FEATURES["match"]
-    rows = M.fatigue_features(sessions(spark, sf_dir))
-    clean = rows.each(lambda df: stored(M.drop_null_features(df, "match")))
-    scaled = M.standardize(clean, M.player_scalers(clean.union(), inputs), inputs).union()
-    return rounded(scaled.select(*KEY, *inputs), *inputs)
+    features = M.fatigue_features(sessions(spark, sf_dir)).each(stored)
+    parts = []
+    for kind, inputs in M.FATIGUE_FEATURES.items():
+        clean = features.each(lambda df, kind=kind: M.drop_null_features(df, kind))
+        scaled = M.standardize(clean, M.player_scalers(clean.union(), inputs), inputs).union()
+        parts.append(rounded(scaled.select(*KEY, "session_type", *inputs), *inputs))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 @cache
@@ -483,9 +501,72 @@ def _trained(spark: SparkSession, sf_dir: str) -> M.FatigueModels:
 
 
 def month_group_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = M.drop_null_features(M.fatigue_features(sessions(spark, sf_dir)).union(), "match")
-    rows = clean.withColumn("fold", M.fold_of(M.month_group_folds(clean)))
-    return rows.groupBy("month", "fold").agg(F.count(F.lit(1)).alias("n"))
+    rows = M.fatigue_features(sessions(spark, sf_dir)).union()
+    parts = []
+    for kind in SESSION_TYPES:
+        clean = M.drop_null_features(rows, kind)
+        placed = clean.withColumn("fold", M.fold_of(M.month_group_folds(clean)))
+        parts.append(placed.groupBy("session_type", "month", "fold").agg(F.count(F.lit(1)).alias("n")))
+    return parts[0].unionByName(parts[1])
+
+
+def trainable_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = M.fatigue_features(sessions(spark, sf_dir)).union()
+    parts = [M.trainable_players(rows, kind).withColumn("session_type", F.lit(kind)) for kind in SESSION_TYPES]
+    return parts[0].unionByName(parts[1])
+
+
+def fold_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean over folds on scores that follow from a row's keys; one fold of some players is missing."""
+    score = ((F.col("k3") % 97) / 97.0).alias("score")
+    label = F.when(F.col("k1") % 3 == 0, 1).otherwise(0).alias("performance_drop")
+    fold = (F.col("k2") % 3).cast("int").alias("fold")
+    kind = [F.lit("match").alias("session_type"), F.lit("Any").alias("model_type")]
+    rows = sessions(spark, sf_dir).select("player", *kind, fold, label, score)
+    seen = rows.filter((F.substring("player", 2, 20).cast("bigint") % 7 != 0) | (F.col("fold") != 1))
+    return rounded(M.cross_validated_auc(seen), "auc")
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LoadAnalytics(with_fatigue=False).fit(sessions(spark, sf_dir)).profile()
+
+
+def insight_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested record of each player's session, its blocks spread into columns."""
+    rows = insights.insight_record(_predicted(spark, sf_dir))
+    strategy = F.transform("taper_strategy", lambda d: F.concat_ws(":", d["md"], d["sample_count"]))
+    zones_ = F.transform("optimal_zones", lambda z: F.concat_ws(":", z["zone_key"], z["target"]))
+    return rows.select(
+        "player",
+        "player_info.position",
+        "days_until_next_match",
+        F.array_join(zones_, ",").alias("zones"),
+        F.array_join(strategy, ",").alias("plan"),
+        "readiness.load_status",
+        F.round("today_recommended.load_target", 6).alias("load_target"),
+        "today_comparison.within_target",
+    )
+
+
+def metrics_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones of an export without power score."""
+    table = sessions(spark, sf_dir).drop("power_score")
+    ranges = zones.training_zones_by_metric(zones.zone_ranges(zones.zone_features(table)))
+    return ranges.select("player", "md", "metric", "n")
+
+
+def _crowded(query: Query) -> Query:
+    """The query with a limit that makes every player of the table an oversized one."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before = spark.conf.get(MAX_GROUP_ROWS, None)
+        spark.conf.set(MAX_GROUP_ROWS, "100")
+        try:
+            return query(spark, sf_dir)
+        finally:
+            spark.conf.unset(MAX_GROUP_ROWS) if before is None else spark.conf.set(MAX_GROUP_ROWS, before)
+
+    return run
 
 
 def _held_out(kind: str) -> Query:
@@ -591,6 +672,7 @@ def all_queries() -> dict[str, Query]:
         player_status, match_preparation, taper_recommendations, readiness_summary, taper_series,
         fatigue_features, standardize_per_player, month_group_folds, cross_validated_auc, refit_full,
         model_registry, feature_importance, score_fatigue, fatigue_prediction, confusion_details, fatigue_risk,
+        trainable_players, fold_auc, profile, insight_record, metrics_absent,
     ):
         out[query.__name__] = query
-    return out
+    return out | {f"{name}_heavy": _crowded(out[name]) for name in HEAVY}

@@ -1,7 +1,15 @@
-"""Save and load what training learned: Parquet tables and fitted models."""
+"""Save and load what training learned: Parquet tables and fitted models.
+
+Each save writes a folder of its own and then names it in ``CURRENT``, so a save that fails
+changes nothing, tables loaded from the same path stay readable while they are saved back,
+and nothing of an earlier state is mixed into a later one. The version before the current
+one is kept for its readers; older ones are deleted.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import (
     GBTClassificationModel,
     MultilayerPerceptronClassificationModel,
@@ -17,28 +25,59 @@ MODEL_CLASSES = {
     "NeuralNetwork": MultilayerPerceptronClassificationModel,
 }
 FATIGUE_TABLES = ("registry", "scalers")
+CURRENT = "CURRENT"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target, files = _path(spark, path)
+    return files.exists(target)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The current version and the one before it, if any."""
+    if not _exists(spark, f"{path}/{CURRENT}"):
+        return []
+    return [r["value"] for r in spark.read.text(f"{path}/{CURRENT}", wholetext=True).collect()][0].split()
+
+
+def _name_versions(spark: SparkSession, path: str, versions: list[str]) -> None:
+    target, files = _path(spark, f"{path}/{CURRENT}")
+    stream = files.create(target, True)
+    try:
+        stream.write(bytearray("\n".join(versions).encode()))
+    finally:
+        stream.close()
 
 
 def save_artifacts(path: str, tables: dict[str, DataFrame], fatigue: FatigueModels) -> None:
+    spark = next(iter(tables.values())).sparkSession
+    earlier = _versions(spark, path)
+    version = f"version-{uuid.uuid4().hex}"
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/tables/{name}")
+        table.write.parquet(f"{path}/{version}/tables/{name}")
     for name in FATIGUE_TABLES:
         table = getattr(fatigue, name)
         if table is not None:
-            table.write.mode("overwrite").parquet(f"{path}/tables/{name}")
+            table.write.parquet(f"{path}/{version}/tables/{name}")
     for session_type, models in fatigue.models.items():
         for kind, model in models.items():
-            model.write().overwrite().save(f"{path}/models/{session_type}/{kind}")
+            model.write().save(f"{path}/{version}/models/{session_type}/{kind}")
+    _name_versions(spark, path, [version, *earlier[:1]])
+    for old in earlier[1:]:
+        target, files = _path(spark, f"{path}/{old}")
+        files.delete(target, True)
 
 
 def load_artifacts(spark: SparkSession, path: str, names: list[str]) -> tuple[dict[str, DataFrame], FatigueModels]:
-    if not _exists(spark, path):
+    versions = _versions(spark, path)
+    if not versions:
         raise FileNotFoundError(f"No saved analytics at {path}")
+    path = f"{path}/{versions[0]}"
     tables = {name: spark.read.parquet(f"{path}/tables/{name}") for name in names}
     fatigue = FatigueModels()
     for name in FATIGUE_TABLES:

@@ -18,14 +18,30 @@ def read_sessions(
 
     ``date_format`` is ``excel_serial``, ``iso`` or a Spark datetime pattern. CSV text is
     read without an inference pass: every known column is cast to its declared type and a
-    cell that does not fit becomes NULL. Columns may come in any order; unknown ones are
-    left unread.
+    cell that does not fit becomes NULL. Columns may come in any order, in each file its
+    own; unknown ones are left unread, and one that some files lack is NULL in their rows.
     """
-    if fmt == "csv":
-        raw = spark.read.option("header", True).csv(path)
-    else:
-        raw = spark.read.format(fmt).load(path)
-    return canonical(raw, date_format)
+    if fmt != "csv":
+        return canonical(spark.read.format(fmt).load(path), date_format)
+    parts = [spark.read.option("header", True).csv(files) for files in files_by_header(spark, path)]
+    return union_sessions(*(canonical(raw, date_format) for raw in parts))
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """CSV files with the same header line together; Spark applies one file's header to all it reads.
+
+    The driver gets one short row per file.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place")
+    )
+    starts = lines.filter(F.col("_metadata.file_block_start") == 0).filter("value <> ''")
+    headers: dict[str, list[str]] = {}
+    for row in starts.groupBy("file").agg(F.min_by("value", "place").alias("header")).orderBy("file").collect():
+        headers.setdefault(row["header"], []).append(row["file"])
+    if not headers:
+        raise ValueError(f"No header line in {path}")
+    return list(headers.values())
 
 
 def canonical(raw: DataFrame, date_format: str = "excel_serial") -> DataFrame:

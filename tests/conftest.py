@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def make_session() -> SparkSession:
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[8]"))
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

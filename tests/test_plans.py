@@ -87,7 +87,7 @@ def test_unknown_players_get_an_error(spark):
     table = season(spark)
     asked = spark.createDataFrame([("A",), ("Z",)], "player string")
     rows = LoadAnalytics(with_fatigue=False).fit(table).predict(table, players=asked).collect()
-    assert {r.player: r.error for r in rows} == {"A": None, "Z": "No data found for player Z"}
+    assert {r.player: r.error for r in rows} == {"A": None, "Z": "no sessions of player Z"}
 
 
 def test_train_and_report_uses_the_held_out_part(spark):
@@ -99,9 +99,9 @@ def test_train_and_report_uses_the_held_out_part(spark):
 
 
 def test_untrained_and_missing_artefacts(spark, tmp_path):
-    with pytest.raises(ValueError, match="trained"):
+    with pytest.raises(ValueError, match="fit"):
         LoadAnalytics().predict(season(spark))
-    with pytest.raises(ValueError, match="trained"):
+    with pytest.raises(ValueError, match="fit"):
         LoadAnalytics().save(str(tmp_path / "x"))
     with pytest.raises(FileNotFoundError):
         LoadAnalytics.load(spark, str(tmp_path / "nothing"))
