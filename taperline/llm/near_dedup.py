@@ -157,28 +157,28 @@ def near(pairs: DataFrame, classes: DataFrame, pairs_at_most: int) -> DataFrame:
     return sized(fitting.select("a", "b", "signature_a", "signature_b"), pairs_at_most).mapInArrow(signature_distance, "a long, b long, errors int")
 
 
-def class_sets(cids: DataFrame, n: int, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cid, shingles) of about n classes, stored, from the text of one document of each."""
-    needed = stored(sized(cids.join(classes.select("cid", "doc"), "cid"), n).select("cid", "doc.*"), "needed")
+def class_sets(cids: DataFrame, documents: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
+    """(cid, shingles) of classes, stored, from the text of one document of each; there are ``rows`` documents."""
+    needed = stored(sized(cids.join(classes.select("cid", "doc"), "cid"), rows).select("cid", "doc.*"), "needed")
     texts = documents.select(*text_identity(), "text").alias("t")
     same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_hash") == F.col("n.text_hash"))
-    found = sized(texts.join(needed.alias("n"), same).select("cid", "text"), n, 2_000)
+    # The classes asked for grow with the documents, so this is a merge join at any size.
+    found = sized(texts.join(needed.hint("merge").alias("n"), same).select("cid", "text"), rows, 5_000)
     # Equal rows give their class's set more than once.
     sets = found.mapInArrow(text_sets, "cid long, shingles binary").dropDuplicates(["cid"])
-    return stored(sized(sets, n, 5_000), "sets")
+    sets = stored(sized(sets, rows, 5_000), "sets")
+    discard(needed)
+    return sets
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """The stored pairs of classes that are similar, from full sets of a document of each."""
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The stored pairs of classes that are similar, by their full sets."""
     n = pairs.count()
     if not n:
-        return documents.sparkSession.createDataFrame([], "a long, b long")
-    sets = class_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), 2 * n, documents, classes)
+        return sets.sparkSession.createDataFrame([], "a long, b long")
     one = sized(pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left")), "a"), n, 2_000)
     two = one.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right")), "b")
-    links = stored(sized(two.select("a", "b", "left", "right"), n, 2_000).mapInArrow(similar, "a long, b long"), "links")
-    discard(sets)
-    return links
+    return stored(sized(two.select("a", "b", "left", "right"), n, 2_000).mapInArrow(similar, "a long, b long"), "links")
 
 
 def block_links(rows: pa.Table) -> pa.Table:
@@ -222,7 +222,7 @@ def block_links(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def crowd_links(members: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+def crowd_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links across components in crowded buckets: rows (key, cid, component) -> stored links (a, b).
 
     Classes that such buckets connect are a family. A family is compared inside of one task, without
@@ -230,7 +230,7 @@ def crowd_links(members: DataFrame, documents: DataFrame, classes: DataFrame) ->
     """
     rows = members.count()
     if not rows:
-        return documents.sparkSession.createDataFrame([], "a long, b long")
+        return sets.sparkSession.createDataFrame([], "a long, b long")
     heads = members.groupBy("key").agg(F.min("cid").alias("head"))
     star = sized(members.join(heads, "key").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), rows)
     family = connected_components(star).select(F.col("node").alias("cid"), F.col("component").alias("family"))
@@ -242,12 +242,11 @@ def crowd_links(members: DataFrame, documents: DataFrame, classes: DataFrame) ->
     placed = sized(own.join(sizes, "family"), n).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = placed.select("*", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    sets = class_sets(own.select("cid").distinct(), n, documents, classes)
     whole = sized(tasks.join(sets, "cid"), n, 5_000).select(
         "family", "i", "j", "cid", "block", "component", "signature", "shingles"
     )
     links = stored(sized(whole.groupBy("family", "i", "j").applyInArrow(block_links, "a long, b long"), n, 2_000), "links")
-    discard(own, sets)
+    discard(own)
     return links
 
 
@@ -269,7 +268,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         )
     )
     classes = stored(grouped.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
-    links = class_links(documents, classes)
+    links = class_links(documents, classes, known.count())
     member = connected_components(links)
     of_class = (
         classes.join(member.withColumnRenamed("node", "cid"), "cid", "left")
@@ -285,7 +284,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
-def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
+def class_links(documents: DataFrame, classes: DataFrame, documents_at_most: int) -> DataFrame:
     """Similar pairs of classes that join all classes of each component."""
     signed = classes.filter(F.col("signature").isNotNull())
     keys = signed.select("cid", "signature").mapInArrow(class_keys, "key long, cid long")
@@ -295,11 +294,13 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     met = stored(keys.join(buckets, "key").select("key", "cid", "head"), "buckets")
     discard(buckets)
     rows = met.count()
+    # One pass over the texts gives the sets that all later steps confirm links on.
+    sets = class_sets(met.select("cid").distinct(), documents, classes, documents_at_most)
     heads = sized(met.filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct(), rows)
     stars = near(heads, classes, rows // SYMBOLS)
     closest = stars.groupBy("a").agg(F.min(F.struct("errors", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     tried = stored(sized(closest, rows // SYMBOLS), "stars")
-    links = confirmed(tried, documents, classes)
+    links = confirmed(tried, sets)
     member = connected_components(links)
     # Buckets that one component fills need nothing more.
     grown = sized(met.join(member.withColumnRenamed("node", "cid"), "cid", "left"), rows).select(
@@ -317,9 +318,9 @@ def class_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
     across = sized(a.join(b, "key").filter("ca <> cb and a > b"), left)
     pairs = sized(across.select("a", "b").distinct(), left)
     rest = stored(near(pairs, classes, left).select("a", "b").join(tried, ["a", "b"], "left_anti"), "across")
-    more = confirmed(rest, documents, classes)
-    most = crowd_links(known.filter(F.col("n") > CROWD).select("key", "cid", "component"), documents, classes)
-    discard(met, mixed, known)
+    more = confirmed(rest, sets)
+    most = crowd_links(known.filter(F.col("n") > CROWD).select("key", "cid", "component"), classes, sets)
+    discard(met, mixed, known, sets)
     return stored(links.unionByName(more).unionByName(most), "links")
 
 
