@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: Words, and parts of words, whose ids a worker remembers: those of the present and of the last so many new ones.
+REMEMBERED = 250_000
 #: Letters that lower-casing and composing leave alone, then ASCII punctuation without apostrophe and <.
 PLAIN_ASCII = re.compile(rb"([A-Za-z]*)([!-&(-/:;=-@\[-`{-~]*)")
 PLAIN = re.compile(r"([a-zß-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
@@ -35,15 +35,22 @@ class TextIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_letters()
         self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {b"": b""}
+        self.old_parts: dict[bytes, bytes] = {}
         self.tokenize = self.tokenizer.model.tokenize
 
     def part(self, piece: bytes) -> bytes:
-        mapped = piece.decode() if piece.isascii() else "".join(self.letters[b] for b in piece)
-        found = self.tokenize(mapped)
-        known = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        known = self.parts.get(piece)
+        if known is not None:
+            return known
+        known = self.old_parts.get(piece)
+        if known is None:
+            mapped = piece.decode() if piece.isascii() else "".join(self.letters[b] for b in piece)
+            found = self.tokenize(mapped)
+            known = struct.pack(f"<{len(found)}I", *[t.id for t in found])
         if len(self.parts) >= REMEMBERED:
-            self.parts = {b"": b""}
+            self.parts, self.old_parts = {b"": b""}, self.parts
         self.parts[piece] = known
         return known
 
@@ -58,9 +65,7 @@ class TextIds:
             if not found or len(text) != len(found.group()):
                 return self.whole(text)
             letters, marks = (part.encode() for part in found.groups())
-        one = self.parts.get(letters)
-        two = self.parts.get(marks)
-        return (self.part(letters) if one is None else one) + (self.part(marks) if two is None else two)
+        return self.part(letters) + self.part(marks)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -69,15 +74,14 @@ class TextIds:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
         if b"<|" in text:
             return self.whole(text.decode())
-        known, words = self.words, text.split()
-        if len(known) >= REMEMBERED:
-            known.clear()
+        if len(self.words) >= REMEMBERED:
+            self.words, self.old_words = {}, self.words
+        known, old, words = self.words, self.old_words, text.split()
         found = list(map(known.get, words))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    word = words[i]
-                    found[i] = known[word] = self.word(word)
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = old.get(word)
+            found[i] = known[word] = self.word(word) if ids is None else ids
         return b"".join(found)
 
 
