@@ -129,6 +129,24 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN most USING (doc_id)
 """
 
+OP10 = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS INT), 400) AS g
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400)),
+t AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS c FROM s) WHERE c > 1),
+e AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+    SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM t)),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS z FROM e GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, run, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY run), 0) AS p FROM r),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+    string_agg(substr(h, CAST(2 * p + 1 AS INT), CAST(2 * (a - p) AS INT)), '' ORDER BY run) AS head
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS INT)))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op6_license_scans": license_sql(), "op7_benchmark_decontamination": OP7, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op8_warc": OP8}
+    return {"op10_suffix_array_dedup": OP10, "op6_license_scans": license_sql(), "op7_benchmark_decontamination": OP7, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op8_warc": OP8}
