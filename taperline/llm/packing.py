@@ -141,24 +141,26 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search_nodes
     best = best_fit(counts, capacity)
     least, size = lower_bound(counts, capacity), sum(c for _, c in best)
     total = sum(length * n for length, n in counts.items())
-    nodes = 0
-    # Depth first without recursion: a frame is (what is left, patterns so far, waste, fillings to try).
-    stack: list[tuple[dict[int, int], Packing, int, Iterator]] = []
+    # Depth first on one histogram: a frame is (fillings to try, waste before, (bin, copies) taken or None).
+    left, nodes = dict(counts), 0
+    stack: list[list] = []
 
-    def open_frame(left: dict[int, int], done: Packing, waste: int) -> None:
+    def open_frame(waste: int) -> None:
         longest = max(left)
-        allowed = (size - 1) * capacity - total - waste
-        rest = dict(left)
-        rest[longest] -= 1
-        if not rest[longest]:
-            del rest[longest]
-        options = fillings(capacity - longest, sorted(rest), rest, allowed)
-        stack.append((left, done, waste, iter(options)))
+        left[longest] -= 1
+        lengths = sorted(x for x, n in left.items() if n)
+        options = fillings(capacity - longest, lengths, left, (size - 1) * capacity - total - waste)
+        left[longest] += 1
+        stack.append([iter(options), waste, None])
 
     if size > least and counts:
-        open_frame(counts, [], 0)
+        open_frame(0)
     while stack and nodes < search_nodes and size > least:
-        left, done, waste, options = stack[-1]
+        options, waste, taken = stack[-1]
+        if taken:  # back from below: put the pieces back
+            for length, n in taken[0]:
+                left[length] = left.get(length, 0) + n * taken[1]
+            stack[-1][2] = None
         filling = next(options, None)
         if filling is None:
             stack.pop()
@@ -169,15 +171,18 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search_nodes
         need[longest] = need.get(longest, 0) + 1
         gap = capacity - sum(length * n for length, n in need.items())
         copies = min(left[length] // n for length, n in need.items())
-        allowed = (size - 1) * capacity - total - waste
-        copies = min(copies, allowed // gap) if gap else copies
+        copies = min(copies, ((size - 1) * capacity - total - waste) // gap) if gap else copies
         if copies < 1:
             continue
-        after = {x: n - copies * need.get(x, 0) for x, n in left.items() if n > copies * need.get(x, 0)}
-        bins = [*done, (tuple(sorted(need.items(), reverse=True)), copies)]
-        if after:
-            open_frame(after, bins, waste + gap * copies)
+        for length, n in need.items():
+            left[length] -= copies * n
+            if not left[length]:
+                del left[length]
+        stack[-1][2] = (tuple(sorted(need.items(), reverse=True)), copies)
+        if left:
+            open_frame(waste + gap * copies)
             continue
+        bins = [frame[2] for frame in stack]
         if (found := sum(c for _, c in bins)) < size:
             best, size = bins, found
     return best
