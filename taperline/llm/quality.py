@@ -33,8 +33,8 @@ class Rules:
     max_repeat_percent: int = 50
     #: A fence is the outer quartile plus this many times the distance between the quartiles ...
     reach: int = 3
-    #: ... of which at least so many thousandths (for word lengths: hundredths) are assumed.
-    least_spread: int = 40
+    #: ... of which at least so much is assumed: thousandths, for word lengths hundredths of a character.
+    least_spread: tuple[tuple[str, int], ...] = (("symbol_rate", 25), ("dup_line_rate", 100), ("repeat_rate", 100), ("word_length", 40))
     #: Groups with fewer documents are measured by the next larger group.
     min_documents: int = 100
 
@@ -145,7 +145,8 @@ def fences(counts: DataFrame, rules: Rules) -> DataFrame:
         )
         return found["at"]
 
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(rules.least_spread)) * rules.reach
+    floors = F.create_map(*[F.lit(x) for pair in rules.least_spread for x in pair])
+    spread = F.greatest(F.col("q3") - F.col("q1"), floors[F.col("rate")]) * rules.reach
     fenced = per_rate.select("level", "_lang", "_source", "rate", "n", quantile(25).alias("q1"), quantile(75).alias("q3")).select(
         "level", "_lang", "_source", "rate", "n", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high")
     )

@@ -48,7 +48,9 @@ o AS (SELECT *, row_number() OVER (PARTITION BY level, lang, source, rate ORDER
     count(*) OVER (PARTITION BY level, lang, source, rate) AS n FROM ranked),
 q AS (SELECT level, lang, source, rate, any_value(n) AS n, max(CASE WHEN k = (n - 1) * 25 // 100 THEN pos END) AS q1,
     max(CASE WHEN k = (n - 1) * 75 // 100 THEN pos END) AS q3 FROM o GROUP BY ALL),
-f AS (SELECT *, q1 - 3 * greatest(q3 - q1, 40) AS low, q3 + 3 * greatest(q3 - q1, 40) AS high FROM q),
+f AS (SELECT *, q1 - 3 * greatest(q3 - q1, least_spread) AS low, q3 + 3 * greatest(q3 - q1, least_spread) AS high
+  FROM q JOIN (VALUES ('symbol_rate', 25), ('dup_line_rate', 100), ('repeat_rate', 100), ('word_length', 40)) v(rate, least_spread)
+  USING (rate)),
 groups AS (SELECT DISTINCT lang, source FROM c),
 pick AS (SELECT g.lang, g.source, f.rate, f.low, f.high,
     row_number() OVER (PARTITION BY g.lang, g.source, f.rate ORDER BY f.level) AS best
