@@ -17,7 +17,7 @@ import numpy as np
 #: Words, and parts of words, whose ids a worker remembers: those of the present and of the last so many new ones.
 REMEMBERED = 250_000
 #: Letters that lower-casing and composing leave alone, then ASCII punctuation without apostrophe and <.
-PLAIN_ASCII = re.compile(rb"([A-Za-z]*)([!-&(-/:;=-@\[-`{-~]*)")
+PLAIN_ASCII = re.compile(rb"([A-Za-z]*)([!-&(-/:;=-@\[-`{-~]*)").fullmatch
 PLAIN = re.compile(r"([a-zß-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
 
 
@@ -48,17 +48,20 @@ class TextIds:
         if known is None:
             mapped = piece.decode() if piece.isascii() else "".join(self.letters[b] for b in piece)
             found = self.tokenize(mapped)
-            known = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+            known = struct.pack(f"<{len(found)}H", *[t.id for t in found])
         if len(self.parts) >= REMEMBERED:
             self.parts, self.old_parts = {b"": b""}, self.parts
         self.parts[piece] = known
         return known
 
     def word(self, word: bytes) -> bytes:
-        plain = PLAIN_ASCII.fullmatch(word)
+        plain = PLAIN_ASCII(word)
         if plain:
             letters, marks = plain.groups()
             letters = letters.lower()
+            one, two = self.parts.get(letters), self.parts.get(marks)
+            if one is not None and two is not None:
+                return one + two
         else:
             text = word.decode()
             found = PLAIN.fullmatch(text.lower())
@@ -68,10 +71,14 @@ class TextIds:
         return self.part(letters) + self.part(marks)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
+        return np.frombuffer(self.short_ids(text), dtype="<u2").astype("<u4").tobytes()
+
+    def short_ids(self, text: bytes) -> bytes:
+        """The same in 16 bits, which hold every id of these vocabularies."""
         if b"<|" in text:
             return self.whole(text.decode())
         if len(self.words) >= REMEMBERED:
