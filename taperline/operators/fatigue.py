@@ -42,6 +42,8 @@ class ModelSizes:
     boosting_step: float = 0.1
     hidden: tuple[int, ...] = (50, 20)
     network_iterations: int = 1000
+    #: A network stops earlier once its loss improves by less than this share.
+    network_tolerance: float = 1e-3
 
 
 @dataclass
@@ -153,7 +155,10 @@ def candidates(n_features: int, sizes: ModelSizes) -> dict[str, object]:
             **shared,
         ),
         "NeuralNetwork": MultilayerPerceptronClassifier(
-            layers=[n_features, *sizes.hidden, 2], maxIter=sizes.network_iterations, **shared
+            layers=[n_features, *sizes.hidden, 2],
+            maxIter=sizes.network_iterations,
+            tol=sizes.network_tolerance,
+            **shared,
         ),
     }
 

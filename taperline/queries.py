@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +39,11 @@ HEAVY = (
     "subday_training_load",
     "subday_match_days",
 )
-# Smaller than the library defaults, so that the checks stay short.
-CHECK_SIZES = M.ModelSizes(trees=20, boosting_rounds=5, network_iterations=20)
+
+
+# Trees and boosting rounds as the library has them. Each iteration of a network is a Spark job, so a
+# thousand of them would take the eight fits of the checks most of their time.
+QUERY_SIZES = M.ModelSizes(network_iterations=100)
 
 
 def as_of() -> Column:
@@ -495,9 +497,16 @@ def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-@cache
+# What training learned, by application and folder: one training serves all queries of a session.
+_TRAINED: dict[tuple[str, str], M.FatigueModels] = {}
+
+
 def _trained(spark: SparkSession, sf_dir: str) -> M.FatigueModels:
-    return M.train_fatigue(M.fatigue_features(sessions(spark, sf_dir)).each(stored), CHECK_SIZES)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED.clear()  # frames of another session or folder are of no use
+        _TRAINED[key] = M.train_fatigue(M.fatigue_features(sessions(spark, sf_dir)).each(stored), QUERY_SIZES)
+    return _TRAINED[key]
 
 
 def month_group_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
