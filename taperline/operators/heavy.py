@@ -1,7 +1,7 @@
 """Features of heavy players, computed without bringing a player together.
 
-Windows over time read a rollup with one row per player and date, whose size follows the
-calendar. Windows over a number of rows first give every row its position, from counts of
+Windows over time read a rollup with one row per player and date (or instant), in spans of 28
+days with their neighbours. Windows over a number of rows first give every row its position, from counts of
 small ordered slices, then run on blocks of consecutive positions that also see the last
 few rows of the block before.
 """
@@ -170,18 +170,20 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     if "taper_matches" in groups:
         held["_good"] = F.count_if("taper_good")
     dates = df.groupBy("player", "t").agg(*[c.alias(n) for n, c in held.items()])
-
-    player = W.partitionBy("player")
-    axis = player.orderBy("t")
+    # Frames reach at most CHRONIC_DAYS back or PRE_MATCH_DAYS ahead: with its two neighbours, a span of
+    # that many days holds all of them, and no window holds a whole player of instants.
+    dates = stored(dates.withColumn("_span", F.floor(F.col("t") / (CHRONIC_DAYS * unit))))
+    near = dates.withColumn("_home", F.explode(F.array(F.col("_span") - 1, F.col("_span"), F.col("_span") + 1)))
+    home = W.partitionBy("player", "_home")
+    axis = home.orderBy("t")
+    match_t = F.when(F.col("_matches") > 0, F.col("t"))
     new: dict[str, Column] = {}
     if "training_load" in groups:
-        new["n_training"] = F.sum("_trainings").over(player)
         for name, days in (("acute", ACUTE_DAYS), ("chronic", CHRONIC_DAYS)):
             new[f"_{name}"] = F.sum("_load").over(axis.rangeBetween(1 - days * unit, -1))
     if "match_days" in groups:
-        match_t = F.when(F.col("_matches") > 0, F.col("t"))
         new["prev_match"] = F.max(match_t).over(axis.rowsBetween(*PAST))
-        new["next_match"] = F.min(match_t).over(player.orderBy(F.desc("t")).rowsBetween(*PAST))
+        new["next_match"] = F.min(match_t).over(home.orderBy(F.desc("t")).rowsBetween(*PAST))
     if "speed" in groups:
         week = axis.rangeBetween(-SPEED_DAYS * unit, 0)
         for kind in SESSION_TYPES:
@@ -196,25 +198,55 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
         for k in range(1, PRE_MATCH_DAYS + 1):
             there = axis.rangeBetween(*days_before_frame(k, unit))
             new[f"ahead_{k}"] = F.coalesce(F.sum("_good").over(there), F.lit(0))
-    dates = dates.withColumns(new)
+    dates = near.withColumns(new).filter("_home = _span").drop("_home")
     if "training_load" in groups:
-        dates = dates.withColumns(
-            {
-                f"_{name}_carried": F.last(
-                    F.when(F.col("_trainings") > 0, add_present(F.col(f"_{name}"), F.col("_load"))), ignorenulls=True
-                ).over(axis.rowsBetween(*PAST))
-                for name in ("acute", "chronic")
-            }
-        )
+        inside = W.partitionBy("player", "_span").orderBy("t").rowsBetween(*PAST)
+        for name in ("acute", "chronic"):
+            own = F.when(F.col("_trainings") > 0, add_present(F.col(f"_{name}"), F.col("_load")))
+            dates = dates.withColumn(f"_{name}_own", own)
+            dates = dates.withColumn(f"_{name}_carried", F.last(f"_{name}_own", ignorenulls=True).over(inside))
+    dates = _beyond_spans(stored(dates), groups, match_t)
+    spent = ["_span", "_load", "_trainings", "_matches", "_good", "_acute_own", "_chronic_own"]
+    return dates.drop(*spent, *[f"_good_{m}" for m in PERFORMANCE_METRICS])
+
+
+def _beyond_spans(dates: DataFrame, groups: set[str], match_t: Column) -> DataFrame:
+    """What reaches over the spans: the nearest match, loads carried on, and facts of the whole player."""
+    held: dict[str, Column] = {}
+    if "match_days" in groups:
+        held |= {"_last_match": F.max(match_t), "_first_match": F.min(match_t)}
+    if "training_load" in groups:
+        for name in ("acute", "chronic"):
+            own = F.col(f"_{name}_own")
+            held[f"_{name}_last"] = F.max_by(own, F.when(own.isNotNull(), F.col("t")))
+    if held:
+        # One row per player and span.
+        before = W.partitionBy("player").orderBy("_span").rowsBetween(*PAST)
+        after = W.partitionBy("player").orderBy(F.desc("_span")).rowsBetween(*PAST)
+        spans = dates.groupBy("player", "_span").agg(*[c.alias(n) for n, c in held.items()])
+        if "match_days" in groups:
+            spans = spans.withColumns(
+                {"_last_match": F.max("_last_match").over(before), "_first_match": F.min("_first_match").over(after)}
+            )
+        if "training_load" in groups:
+            spans = spans.withColumns({f"_{n}_last": F.last(f"_{n}_last", ignorenulls=True).over(before) for n in ("acute", "chronic")})
+        dates = dates.join(stored(spans), ["player", "_span"])
+        if "match_days" in groups:
+            dates = dates.withColumns(
+                {"prev_match": F.greatest("prev_match", "_last_match"), "next_match": F.least("next_match", "_first_match")}
+            )
+        if "training_load" in groups:
+            dates = dates.withColumns({f"_{n}_carried": F.coalesce(f"_{n}_carried", f"_{n}_last") for n in ("acute", "chronic")})
+        dates = dates.drop(*held)
+    overall: dict[str, Column] = {}
+    if "training_load" in groups:
+        overall["n_training"] = F.sum("_trainings")
     if "good_matches" in groups:
-        dates = dates.withColumns(
-            {
-                f"prepared_{m}": F.max((F.col("_trainings") > 0) & (F.col(f"ahead_{m}") > 0)).over(player)
-                for m in PERFORMANCE_METRICS
-            }
-        )
-    spent = ["_load", "_trainings", "_matches", "_good"] + [f"_good_{m}" for m in PERFORMANCE_METRICS]
-    return dates.drop(*spent)
+        for m in PERFORMANCE_METRICS:
+            overall[f"prepared_{m}"] = F.max((F.col("_trainings") > 0) & (F.col(f"ahead_{m}") > 0))
+    if overall:
+        dates = dates.join(stored(dates.groupBy("player").agg(*[c.alias(n) for n, c in overall.items()])), "player")
+    return dates
 
 
 def _positions(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
