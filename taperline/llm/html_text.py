@@ -55,7 +55,11 @@ NO_CONTENT_NAMES = re.compile(
     r"comments?|replies|reply|disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|"
     r"login|search|pagination|pager|skip)(?=$|[\s_-])"
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+TAG = r"(/?)([a-zA-Z][^\s/<>]*)"
+#: A comment, a declaration, a tag (with quotes in order, else up to its end), text, or a sign that opens nothing.
+TOKEN = re.compile(
+    rf"<!--.*?(?:-->|$)|<[!?][^>]*>|<{TAG}((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<{TAG}([^<>]*)>|[^<]+|<", re.S
+)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¡¿«»„“”]")
 
@@ -99,7 +103,7 @@ def text_nodes(source: str) -> list[tuple[Element, str, int]]:
         if token is None:
             break
         pos = token.end()
-        name = token.group(2)
+        ends, name, attributes = token.groups()[:3] if token.group(2) else token.groups()[3:]
         if name is None:
             if token.group()[0] != "<" or token.group() == "<":
                 nodes.append((at, html.unescape(token.group()), block))
@@ -107,7 +111,7 @@ def text_nodes(source: str) -> list[tuple[Element, str, int]]:
         tag = name.lower()
         if tag in BLOCK:
             block += 1
-        if token.group(1):
+        if ends:
             up: Element | None = at
             while up is not None and up.tag != tag:
                 up = up.parent
@@ -129,8 +133,8 @@ def text_nodes(source: str) -> list[tuple[Element, str, int]]:
                 up = up.parent or root
             if up is not root and up.tag in closed:
                 at = up.parent or root
-            if not token.group(3).rstrip().endswith("/") or tag in BLOCK:
-                at = Element(tag, at, is_silent(tag, token.group(3), at))
+            if not attributes.rstrip().endswith("/") or tag in BLOCK:
+                at = Element(tag, at, is_silent(tag, attributes, at))
     return nodes
 
 

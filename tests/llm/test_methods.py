@@ -215,7 +215,8 @@ def test_broken_pages():
     assert html_text.main_text(None) == html_text.main_text("") == ""
     assert html_text.main_text("a <b>< c") == "a < c"
     assert html_text.main_text("<article><p>" + "word, " * 50_000) == ("word, " * 50_000).strip()
-    for source in ("</p></div>", "<p", "<a href='", "<!--", "<script>x", "a < b", "<" * 300):
+    assert html_text.main_text("<article><p title=\"x>One, and</p><p>two.</p></article>") == "One, and\ntwo."
+    for source in ("</p></div>", "<a " * 20_000, "<a b='" * 5_000, "<p", "<a href='", "<!--", "<script>x", "a < b", "<" * 300):
         html_text.main_text(source)
 
 
