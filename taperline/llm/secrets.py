@@ -1,6 +1,7 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
-Candidates are runs of at least 12 letters, digits and signs with a digit, and values of at least 8
+Candidates are runs of at least 12 letters, digits and signs with a digit or with the beginning of a
+usual service's keys, and values of at least 8
 characters assigned to a name such as password. The forest looks at each candidate's length, its
 character transitions (changes of kind, and how usual its letter pairs are in words), how much of it a
 dictionary covers, its path (the document's source and signs of paths or addresses around it) and the
@@ -31,8 +32,11 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 
 NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
+# How keys of usual services begin.
+KNOWN_PREFIX = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk-|sk_live_|rk_live_|AIza|eyJ|npm_|SG\\.|ya29"
 CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*+[0-9])[A-Za-z0-9_+/\-]{12,}+={0,2}"
+    rf"(?<![A-Za-z0-9_+/\-])(?:{KNOWN_PREFIX})[A-Za-z0-9_+/\-]{{12,}}+={{0,2}}"
+    r"|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*+[0-9])[A-Za-z0-9_+/\-]{12,}+={0,2}"
     rf"|(?<=[=:\"'] ?)(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}} {{0,1}}[=:] {{0,1}}[\"']{{0,1}})[^\s\"'<>,;]{{8,}}+"
 )
 
@@ -63,10 +67,9 @@ union unique unit update upload user value variable vector version video view vi
 where white will window winter with word work world write year young zero zone
 """.split()
 
-# Words beside strings that are no secrets, beside those that are, and marks of placeholders.
+# Words beside strings that are no secrets, and marks of placeholders.
 HARMLESS = "sha1|sha256|sha512|md5|crc32|checksum|digest|commit|revision|hash|etag|uuid|guid|isbn|order|invoice|tracking|phone|card|serial|build|page|id"
 PLACEHOLDER = "example|sample|dummy|changeme|change_me|placeholder|your[_-]|xxxx|0000|1234567|abcdef|test|todo|insert|redacted|foobar"
-KNOWN_PREFIX = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk-|sk_live_|rk_live_|AIza|eyJ|npm_|SG\\.|ya29"
 
 
 def pair_scores() -> dict[str, float]:
