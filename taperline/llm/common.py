@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from taperline.operators.hotspots import shared_folder
 
-#: Spark removes the shuffle files of a finished write when this is on.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: Spark removes the shuffle files behind it, and Python gets texts in small batches.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 #: Bytes of text that a task's array code looks at together; a longer text is taken alone.
 SLICE_BYTES = 1 << 20
 
@@ -41,12 +41,14 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    before = {name: spark.conf.get(name, None) for name in WRITING}
     try:
+        for name, value in WRITING.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
