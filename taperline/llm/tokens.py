@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words, and parts of words, whose ids a worker remembers: those of the present and of the last so many new ones.
-REMEMBERED = 350_000
+REMEMBERED = 150_000
 #: Letters that lower-casing and composing leave alone, then ASCII punctuation without apostrophe and <.
 PLAIN_ASCII = re.compile(rb"([A-Za-z]*)([!-&(-/:;=-@\[-`{-~]*)").fullmatch
 PLAIN = re.compile(r"([a-zß-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
