@@ -369,6 +369,19 @@ def test_counts_and_held_out_scores(spark):
     assert sum(got[i]["score"] for i in mine) > sum(log_p[ids[i]].sum() for i in mine)
 
 
+def test_every_window_of_every_training_document_is_trained_on(spark, monkeypatch):
+    """Short documents as well, in every round."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    texts = [rng.integers(2, 3000, n).astype("<u2") for n in (1, 5, 16, 17, 40, 3000) * 20]
+    rows = [(i % 10 == 0, bytearray(t.tobytes())) for i, t in enumerate(texts)]
+    encoded = spark.createDataFrame(rows, "held_out boolean, ids binary").repartition(3)
+    seen = []
+    monkeypatch.setattr(lm, "averaged", lambda copies: seen.append(sum(r["seen"] for r in copies.collect())))
+    lm.train(encoded, lm.Classes(np.ones(lm.IDS)))
+    windows = sum(-(-len(t) // lm.STEP) for i, t in enumerate(texts) if i % 10)
+    assert seen == [windows] * lm.ROUNDS
+
+
 # -- repeats -------------------------------------------------------------------------------
 
 
