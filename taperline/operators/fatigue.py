@@ -43,7 +43,7 @@ class ModelSizes:
     hidden: tuple[int, ...] = (50, 20)
     network_iterations: int = 1000
     #: A network stops earlier once its loss improves by less than this share.
-    network_tolerance: float = 1e-3
+    network_tolerance: float = 1e-6
 
 
 @dataclass

@@ -41,9 +41,8 @@ HEAVY = (
 )
 
 
-# Trees and boosting rounds as the library has them. Each iteration of a network is a Spark job, so a
-# thousand of them would take the eight fits of the checks most of their time.
-QUERY_SIZES = M.ModelSizes(network_iterations=100)
+# The classifiers as the library has them.
+QUERY_SIZES = M.ModelSizes()
 
 
 def as_of() -> Column:

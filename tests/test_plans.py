@@ -1,10 +1,11 @@
 import pytest
 from helpers import make_sessions
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
-from taperline import LoadAnalytics
+from taperline import LoadAnalytics, queries
 from taperline.operators import metrics, taper, zones
-from taperline.operators.fatigue import ModelSizes, month_group_folds, select_best_model
+from taperline.operators.fatigue import ModelSizes, candidates, month_group_folds, select_best_model
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import train_and_report
 from taperline.schema import require_columns
@@ -37,6 +38,13 @@ def test_csv_export_in_any_column_order(spark, tmp_path):
     assert rows["Bob"].position == "Unknown" and rows["Ann"].k1 != rows["Bob"].k1
 
 
+def test_registered_classifiers_are_whole(spark):
+    """The reference's iterations, Spark's own tolerance, and no smaller sizes for the registered queries."""
+    network = candidates(3, queries.QUERY_SIZES)["NeuralNetwork"]
+    assert queries.QUERY_SIZES == ModelSizes()
+    assert (network.getMaxIter(), network.getTol()) == (1000, MultilayerPerceptronClassifier().getTol())
+
+
 def test_split_does_not_depend_on_partitions(spark):
     table = bindings.sessions(spark, SF)
     a = ingest.train_test_split(table)[1].select("k1", "k2", "k3")
