@@ -3,8 +3,9 @@
 Every text node has a path: the tags from the root down to it. For each path the length of its text
 and its punctuation marks are added up and divided by its nodes. Both ratios are smoothed over
 neighbouring text nodes, fused into one score, and the nodes whose score reaches a share of the page's
-spread are content nodes. The answer is the text of the smallest container that holds nearly all their
-weight (an article or main element at most), so that short paragraphs between long ones stay.
+spread are content nodes. The answer is the text of all containers that hold content nodes themselves, and
+of the smallest one around most of their weight (an article or main element at most), so that no content
+node is lost and short paragraphs between long ones stay.
 Parts that are never content (menus, forms, adverts, ...) have no weight and are left out.
 
 Null or empty html, or a page without content, gives an empty text. Nothing is cut, however long.
@@ -64,7 +65,7 @@ NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¡¿«»„“”]")
 
 #: Spread of the smoothing over neighbouring nodes, share of the mean score that a content node reaches,
-#: and share of the weight that a container must hold.
+#: and share of the weight that the container kept as a whole must hold.
 SMOOTHING = 1.0
 THRESHOLD = 0.3
 CONTAINER_SHARE = 0.75
@@ -188,11 +189,17 @@ def main_text(source: str | None) -> str:
             element = element.parent
         return False
 
+    def holder(element: Element) -> Element:
+        while element.parent is not None and element.tag not in CONTAINERS | ROOTS:
+            element = element.parent
+        return element
+
+    holders = {id(holder(element)) for (element, _, _), chosen in zip(nodes, content, strict=True) if chosen}
     inside: dict[int, bool] = {}
     blocks: dict[int, list[str]] = {}
     for element, text, block in nodes:
         if id(element) not in inside:
-            inside[id(element)] = within(element)
+            inside[id(element)] = within(element) or id(holder(element)) in holders
         if inside[id(element)]:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())

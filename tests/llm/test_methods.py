@@ -220,6 +220,18 @@ def test_broken_pages():
         html_text.main_text(source)
 
 
+def test_content_beside_the_largest_container_stays():
+    part = "<p>The first of them, all in all, said this much; and so on, it went.</p>"
+    long, short = part.replace("first", "long") * 8, part * 2
+    text = lambda n, word: ["The %s of them, all in all, said this much; and so on, it went." % word] * n
+    intro = f"<div><div class=intro>{short}</div><div class=text>{long}</div></div>"
+    articles = f"<article>{long}</article><article>{short}</article>"
+    quoted = f"<div>{part}<blockquote>{long}</blockquote>{part}</div>"
+    assert html_text.main_text(f"<body>{intro}</body>").split("\n") == text(2, "first") + text(8, "long")
+    assert html_text.main_text(f"<body>{articles}</body>").split("\n") == text(8, "long") + text(2, "first")
+    assert html_text.main_text(f"<body>{quoted}</body>").split("\n") == text(1, "first") + text(8, "long") + text(1, "first")
+
+
 # -- licenses ------------------------------------------------------------------------------
 
 
