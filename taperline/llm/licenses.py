@@ -1,7 +1,7 @@
 """License notices by an exact set-similarity join of text blocks and notice templates.
 
-A text's words are cut into blocks of 64 words that overlap by half, so that any notice of up to 32
-words lies in one block whole. A block holds a template if it contains at least 90 % of the template's
+A text's words are cut into blocks that overlap by half, of 64 words or twice the longest template's, so
+that any notice lies in one block whole. A block holds a template if it contains at least 90 % of the template's
 different words. The join finds every such pair: words are ordered by the number of blocks that have
 them, rarest first; a template's prefix is as many of its rarest words as must share one with the block
 (prefix filter), blocks with too few template words are left out (length filter), and of a shared word's
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from taperline.llm.common import stored, text_identity, text_slices
 from taperline.llm.kernels import ALPHANUMERIC, word_hashes
 
-BLOCK_WORDS = 64
-STEP = BLOCK_WORDS // 2
+STEP = 32  # words from one block to the next at least; a block is two steps long
 CONTAINMENT = 90  # per cent
 
 # Phrases of the base labels.
@@ -64,6 +63,11 @@ def needed(size: int) -> int:
     return -(-CONTAINMENT * size // 100)
 
 
+def block_step(templates: list[tuple[str, str]]) -> int:
+    """Words from one block to the next, as many as the longest template has at least."""
+    return max(STEP, *(len(notice.split()) for _, notice in templates))
+
+
 def vocabulary(templates: list[tuple[str, str]]) -> list[str]:
     phrases = [w for p in PHRASES.values() for w in p.split()]
     return sorted({w for _, notice in templates for w in notice.split()} | set(phrases))
@@ -72,6 +76,7 @@ def vocabulary(templates: list[tuple[str, str]]) -> list[str]:
 def scan_texts(documents: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
     """Per document: words, places of the fixed phrases, and its blocks' template words as numbers."""
     vocab = vocabulary(templates)
+    step = block_step(templates)
     least = min(needed(len(set(notice.split()))) for _, notice in templates)
     joined = " ".join(vocab).encode()
     codes, _ = word_hashes(np.frombuffer(joined, dtype=np.uint8), np.array([0, len(joined)]), ALPHANUMERIC)
@@ -105,7 +110,7 @@ def scan_texts(documents: DataFrame, templates: list[tuple[str, str]]) -> DataFr
                     base[t].append(label)
             # A word stands in the block that starts before it and in the one before that.
             owner = text_of[places]
-            block = (places - first[owner]) // STEP
+            block = (places - first[owner]) // step
             wide = np.int64(len(vocab))
             stride = np.int64(block.max() + 2) if len(block) else np.int64(1)
             keys = np.concatenate([(owner * stride + b) * wide + number[places] for b in (block, block - 1)])

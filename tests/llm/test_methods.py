@@ -256,6 +256,14 @@ def test_join_finds_every_block_that_holds_a_template(spark):
     assert found == expected and len({d for d, *_ in found if d >= 10_000}) > 5
 
 
+def test_long_templates_are_found_wherever_they_start(spark):
+    rng = random.Random(8)
+    templates = [*licenses.TEMPLATES, ("long", " ".join(f"w{i}" for i in range(150))), ("middle", " ".join(f"v{i}" for i in range(50)))]
+    rows = [(i, prose(rng, at) + " " + notice + " " + prose(rng, 90), "en", "s", 1) for i, (at, (_, notice)) in enumerate((at, t) for at in range(0, 170, 13) for t in templates[-2:])]
+    found = {r["doc_id"]: r["labels"] for r in licenses.license_labels(spark.createDataFrame(rows, DOCUMENTS), templates).collect()}
+    assert found == {i: templates[-2:][i % 2][0] for i in range(len(rows))}
+
+
 # -- decontamination -----------------------------------------------------------------------
 
 
