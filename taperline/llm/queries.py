@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from taperline.llm import decontaminate, html_text, licenses, lm, near_dedup, packing, quality, repeats, secrets, warc
+from pyspark.sql import functions as F
+
+from taperline.llm import (
+    decontaminate,
+    html_text,
+    licenses,
+    lm,
+    merkle,
+    near_dedup,
+    negatives,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    warc,
+)
 from taperline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,5 +76,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40))
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_digest(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

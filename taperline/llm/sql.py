@@ -150,5 +150,61 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 
+OP12 = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS k
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5
+"""
+
+OP13 = """
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST(1 + (xor(c, b) & 255) AS INT)])), 4294967295) % 7 = 0 AS altered,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents, crc),
+e AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + altered::INT AS VARCHAR)) || ':' || (n_chars + altered::INT), '-') || tail) AS claimed FROM d),
+o AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM e),
+nodes AS (SELECT g, 0 AS lvl, i, leaf AS h, n FROM o
+  UNION ALL SELECT g, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY g, lvl, i // 2, n),
+subs AS (SELECT g, h FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS lvl, g AS i, h, (SELECT count(*) FROM subs) AS n FROM subs
+  UNION ALL SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY lvl, i // 2, n),
+low AS (SELECT o.g, o.i, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i < o.i >> l.lvl THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY l.lvl) AS path
+  FROM o JOIN (SELECT DISTINCT g, lvl FROM nodes WHERE n > 1) l ON o.g = l.g
+  LEFT JOIN nodes s ON s.g = o.g AND s.lvl = l.lvl AND s.i = xor(o.i >> l.lvl, 1) GROUP BY o.g, o.i),
+high AS (SELECT b.g, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i < b.g >> l.lvl THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY l.lvl) AS path
+  FROM subs b JOIN (SELECT DISTINCT lvl FROM tops WHERE n > 1) l ON true
+  LEFT JOIN tops s ON s.lvl = l.lvl AND s.i = xor(b.g >> l.lvl, 1) GROUP BY b.g),
+p AS (SELECT o.*, subs.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+    list_concat(coalesce(low.path, []), coalesce(high.path, [])) AS path
+  FROM o JOIN subs ON o.g = subs.g LEFT JOIN low ON o.g = low.g AND o.i = low.i LEFT JOIN high ON o.g = high.g),
+f AS (SELECT *, list_reduce(list_prepend(claimed, path), lambda a, s:
+    sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM f
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op10_suffix_array_dedup": OP10, "op6_license_scans": license_sql(), "op7_benchmark_decontamination": OP7, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op8_warc": OP8}
+    return {
+        "op2_minhash_near_dedup": OP2,
+        "op4_quality_rules": OP4,
+        "op6_license_scans": license_sql(),
+        "op7_benchmark_decontamination": OP7,
+        "op8_warc": OP8,
+        "op10_suffix_array_dedup": OP10,
+        "op12_hard_negative_mining": OP12,
+        "op13_merkle_manifest": OP13,
+    }

@@ -3,7 +3,7 @@
 import pytest
 from text_fixture import DOCUMENTS, frames, with_odd_columns
 
-from taperline.llm import decontaminate, html_text, licenses, lm, near_dedup, packing, pipeline, quality, repeats, secrets, warc
+from taperline.llm import decontaminate, html_text, licenses, lm, merkle, near_dedup, packing, pipeline, quality, repeats, secrets, sharding, warc
 from taperline.llm.queries import tokenizer_path
 
 OPERATORS = {
@@ -15,6 +15,8 @@ OPERATORS = {
     "decontaminate": lambda d: decontaminate.matches(d, d.sparkSession.createDataFrame([(1, "a b c")], "item_id long, text string")),
     "lm": lambda d: lm.document_scores(d, tokenizer_path()),
     "repeats": repeats.without_repeats,
+    "sharding": lambda d: sharding.shard_documents(d, shards=4),
+    "merkle": merkle.tamper_digest,
 }
 
 
