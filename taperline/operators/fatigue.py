@@ -1,27 +1,31 @@
-"""Fatigue classifiers: one model per session type and kind, judged per player.
+"""Fatigue classifiers: one model per player, session type and kind, judged by held-out months.
 
-Thousands of single-player fits do not parallelise, so a model learns from all players at
-once, on features standardised within each player. Whether a player gets predictions, and
-from which kind of model, is still decided player by player from held-out months.
+A player's sessions of one type are a few hundred rows, and fits of different players have nothing in
+common, so one exchange brings each player's rows to a task that fits all its folds (``learners``). A
+player with more than ``spark.taperline.maxFitRows`` sessions of a type is fitted by Spark's own
+distributed classifiers instead; there are at most rows / maxFitRows of those.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassifier,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taperline.functions.expressions import month_bucket
+from taperline.operators import learners
 from taperline.operators.features import split_features
-from taperline.operators.hotspots import Split, lookup, stored
+from taperline.operators.hotspots import Split, lookup, share_code, stored
 from taperline.operators.metrics import confusion_counts, roc_auc
 from taperline.operators.zones import KEY
 from taperline.schema import FATIGUE_FEATURES, SESSION_TYPES, TRAINING_FEATURES
@@ -32,6 +36,12 @@ SEED = 42
 FOLDS = 3
 MIN_TYPE_SESSIONS, MIN_CLEAN_SESSIONS = 20, 15
 MIN_AUC = 0.65
+MAX_FIT_ROWS = "spark.taperline.maxFitRows"
+#: Tasks over which an oversized player's sessions are scored.
+SCORING_SALTS = 64
+GROUP = ["session_type", "player"]
+SEEN = "session_date: date, k1: long, k2: long, k3: long, fold: int, performance_drop: int, score: double, said: int, refit_score: double, refit_said: int"
+FITTED = f"session_type string, player string, model_type string, model binary, importances array<double>, seen array<struct<{SEEN}>>"
 
 
 @dataclass(frozen=True)
@@ -42,17 +52,21 @@ class ModelSizes:
     boosting_step: float = 0.1
     hidden: tuple[int, ...] = (50, 20)
     network_iterations: int = 1000
-    #: A network stops earlier once its loss improves by less than this share.
-    network_tolerance: float = 1e-6
+    #: A network stops earlier once its loss improves by less than this.
+    network_tolerance: float = 1e-4
 
 
 @dataclass
 class FatigueModels:
-    """Fitted models by session type and kind, and the tables that go with them."""
+    """Fitted models and the tables that go with them."""
 
-    models: dict[str, dict[str, object]] = field(default_factory=dict)
+    #: (session_type, player, model_type, model): those the registry names, packed.
+    models: DataFrame | None = None
+    #: Spark's models of oversized players, by session type, player and kind.
+    large: dict[tuple[str, str, str], object] = field(default_factory=dict)
     registry: DataFrame | None = None
     scalers: DataFrame | None = None
+    #: Every session with its fold, its held-out score and that of the fit on all months, per kind.
     held_out: DataFrame | None = None
     aucs: DataFrame | None = None
 
@@ -123,29 +137,30 @@ def trainable_players(features: DataFrame, session_type: str) -> DataFrame:
     )
 
 
-def month_group_folds(clean: DataFrame, folds: int = FOLDS) -> dict[str, int]:
-    """Fold of every calendar month: largest month first, each to the lightest fold.
-
-    Only the month counts come to the driver, one row per calendar month.
-    """
-    months = clean.groupBy("month").count().orderBy(F.desc("count"), "month").collect()
-    if len(months) < folds:
-        return {}
+def placed_folds(months: list[tuple[str, int]], folds: int = FOLDS) -> dict[str, int]:
+    """Fold of each month: largest month first, earlier ones before later ones, each to the lightest fold."""
     held = [0] * folds
     placed = {}
-    for month, size in months:
+    for month, size in sorted(months, key=lambda m: (-m[1], m[0])):
         lightest = held.index(min(held))
         held[lightest] += size
         placed[month] = lightest
     return placed
 
 
+def month_group_folds(clean: DataFrame, folds: int = FOLDS) -> dict[str, int]:
+    """Fold of every calendar month of a table; only the month counts come to the driver."""
+    months = [tuple(m) for m in clean.groupBy("month").count().collect()]
+    return placed_folds(months, folds) if len(months) >= folds else {}
+
+
 def fold_of(folds: dict[str, int]) -> Column:
     return F.create_map(*[F.lit(x) for pair in folds.items() for x in pair])[F.col("month")]
 
 
-def candidates(n_features: int, sizes: ModelSizes) -> dict[str, object]:
-    shared = {"featuresCol": "features", "labelCol": "performance_drop", "seed": SEED}
+def large_candidates(n_features: int, sizes: ModelSizes) -> dict[str, object]:
+    """Spark's classifiers, for players whose sessions do not fit in one task."""
+    shared = {"featuresCol": "vector", "labelCol": "performance_drop", "seed": SEED}
     return {
         "RandomForest": RandomForestClassifier(numTrees=sizes.trees, **shared),
         "GradientBoosting": GBTClassifier(
@@ -163,34 +178,14 @@ def candidates(n_features: int, sizes: ModelSizes) -> dict[str, object]:
     }
 
 
-def _outputs(kind: str) -> dict[str, str]:
-    return {f"{c}Col": f"_{c}_{kind}" for c in ("probability", "rawPrediction", "prediction")}
-
-
-def candidate_scores(df: DataFrame, models: dict[str, object]) -> DataFrame:
-    """``score_<kind>`` (probability of a drop) and ``said_<kind>`` for every model."""
-    for kind, model in models.items():
-        for setter, column in _outputs(kind).items():
-            model._set(**{setter: column})
-        df = model.transform(df).withColumns(
-            {
-                f"score_{kind}": vector_to_array(F.col(f"_probability_{kind}"))[1],
-                f"said_{kind}": F.col(f"_prediction_{kind}").cast("int"),
-            }
-        )
-        df = df.drop(*_outputs(kind).values())
-    return df
-
-
-def _by_candidate(df: DataFrame) -> DataFrame:
-    entries = F.array(
-        *[
-            F.struct(F.lit(k).alias("model_type"), F.col(f"score_{k}").alias("score"), F.col(f"said_{k}").alias("said"))
-            for k in CANDIDATES
-        ]
-    )
-    kept = [c for c in (*KEY, "session_type", "fold", "performance_drop") if c in df.columns]
-    return df.select(*kept, F.inline(entries))
+def large_scores(df: DataFrame, model: object, score: str, said: str) -> DataFrame:
+    """Probability of a drop and the class, by one of Spark's models."""
+    outputs = {f"{c}Col": f"_{c}" for c in ("probability", "rawPrediction", "prediction")}
+    for setter, column in outputs.items():
+        model._set(**{setter: column})
+    vectors = df.withColumn("vector", array_to_vector("features"))
+    found = {score: vector_to_array(F.col("_probability"))[1], said: F.col("_prediction").cast("int")}
+    return model.transform(vectors).withColumns(found).drop("vector", *outputs.values())
 
 
 def cross_validated_auc(held_out: DataFrame) -> DataFrame:
@@ -213,103 +208,174 @@ def select_best_model(aucs: DataFrame) -> DataFrame:
     )
 
 
-def feature_importance(model: object, features: tuple[str, ...]) -> dict[str, float] | None:
-    if not hasattr(model, "featureImportances"):
-        return None
-    return dict(zip(features, (float(v) for v in model.featureImportances.toArray())))
-
-
-def _training_table(features: Split, session_type: str, inputs: tuple[str, ...]):
+def _training_table(features: Split, session_type: str) -> tuple[DataFrame, DataFrame]:
+    inputs = FATIGUE_FEATURES[session_type]
     players = stored(trainable_players(features.union(), session_type).select("player"))
     rows = lookup(features.each(lambda df: drop_null_features(df, session_type)), players, ["player"], how="inner")
     scalers = stored(player_scalers(rows.union(), inputs))
     scaled = standardize(rows, scalers, inputs).union()
-    vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
-    # Read by every fit, so written once to storage that outlives executors.
-    table = stored(vector.transform(scaled).select(*KEY, "session_type", "month", "performance_drop", "features"))
-    return table, scalers
-
-
-def train_type(features: Split, session_type: str, sizes: ModelSizes) -> FatigueModels | None:
+    vector = F.array(*[F.col(f).cast("double") for f in inputs]).alias("features")
+    return scaled.select(*KEY, "session_type", "month", F.col("performance_drop").cast("int"), vector), scalers
+
+
+def fit_group(sizes: ModelSizes) -> Callable[[pa.Table], pa.Table]:
+    """All folds and the whole of one player, session type and kind."""
+
+    def fit(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in KEY[1:]])
+        kind, months = rows.column("model_type")[0].as_py(), rows.column("month").to_pylist()
+        counts: dict[str, int] = {}
+        for month in months:
+            counts[month] = counts.get(month, 0) + 1
+        placed = placed_folds(list(counts.items()))
+        fold = np.array([placed[m] for m in months], dtype=np.int32)
+        parts = np.stack([*[fold != f for f in range(FOLDS)], fold >= 0])
+        x = np.array(rows.column("features").to_pylist(), dtype=float)
+        y = rows.column("performance_drop").to_numpy().astype(int)
+        scores, model, importances = learners.LEARNERS[kind](x, y, parts, sizes, SEED)
+        score, refit = scores[fold, np.arange(len(y))], scores[-1]
+        seen = {c: rows.column(c).combine_chunks() for c in KEY[1:]}
+        seen |= {"fold": pa.array(fold), "performance_drop": pa.array(y.astype(np.int32)), "score": pa.array(score)}
+        seen |= {"said": pa.array((score > 0.5).astype(np.int32)), "refit_score": pa.array(refit), "refit_said": pa.array((refit > 0.5).astype(np.int32))}
+        listed = pa.ListArray.from_arrays(pa.array([0, len(y)], pa.int32()), pa.StructArray.from_arrays(list(seen.values()), list(seen)))
+        shares = pa.array([None if importances is None else importances.tolist()], pa.list_(pa.float64()))
+        first = rows.slice(0, 1).select([*GROUP, "model_type"])
+        return first.append_column("model", pa.array([learners.packed(model)], pa.binary())).append_column("importances", shares).append_column("seen", listed)
+
+    return fit
+
+
+def fit_players(table: DataFrame, sizes: ModelSizes, kinds: tuple[str, ...], n_rows: int) -> DataFrame:
+    """One row per player, session type and kind, from one exchange; a fit costs far more than moving its rows."""
+    spark = table.sparkSession
+    share_code(spark)
+    tasks = 4 * spark.sparkContext.defaultParallelism + n_rows * len(kinds) // 20_000
+    asked = table.withColumn("model_type", F.explode(F.array(*map(F.lit, kinds))))
+    keys = [*GROUP, "model_type"]
+    return stored(asked.repartition(tasks, *keys).groupBy(*keys).applyInArrow(fit_group(sizes), FITTED))
+
+
+def fit_large(table: DataFrame, session_type: str, player: str, sizes: ModelSizes, kinds: tuple[str, ...]):
+    """One oversized player's models, importances and scored sessions, by Spark's classifiers."""
     inputs = FATIGUE_FEATURES[session_type]
-    table, scalers = _training_table(features, session_type, inputs)
-    folds = month_group_folds(table)
-    if not folds:
-        return None
-    table = table.withColumn("fold", fold_of(folds))
-    held_out = None
-    for fold in range(FOLDS):
-        rest = table.filter(F.col("fold") != fold)
-        fitted = {k: c.fit(rest) for k, c in candidates(len(inputs), sizes).items()}
-        scored = _by_candidate(candidate_scores(table.filter(F.col("fold") == fold), fitted))
-        held_out = scored if held_out is None else held_out.union(scored)
-    held_out = stored(held_out)
-    aucs = stored(cross_validated_auc(held_out))
-    best = select_best_model(aucs)
-    models = {k: c.fit(table) for k, c in candidates(len(inputs), sizes).items()}
-    fitted = confusion_counts(
-        _by_candidate(candidate_scores(table, models)), ["player", "model_type"], "performance_drop", "said"
-    )
-    unseen = confusion_counts(held_out, ["player", "model_type"], "performance_drop", "said")
-    unseen = unseen.select("player", "model_type", *[F.col(c).alias(f"held_out_{c}") for c in ("tn", "fp", "fn", "tp")])
-    registry = best.join(fitted, ["player", "model_type"]).join(unseen, ["player", "model_type"])
-    importances = F.lit(None).cast("map<string,double>")
-    for kind, model in models.items():
-        found = feature_importance(model, inputs)
-        if found:
-            entries = F.create_map(*[F.lit(x) for pair in found.items() for x in pair])
-            importances = F.when(F.col("model_type") == kind, entries).otherwise(importances)
-    registry = registry.withColumn("importances", importances).withColumn("features", F.array(*map(F.lit, inputs)))
-    scalers = scalers.withColumn("session_type", F.lit(session_type))
-    return FatigueModels({session_type: models}, stored(registry), scalers, held_out, aucs)
-
-
-def train_fatigue(features: Split, sizes: ModelSizes = ModelSizes()) -> FatigueModels:
-    """Train both session types and stack their tables.
-
-    Both types pass over ``features`` several times: pass them stored.
+    own = table.filter((F.col("session_type") == session_type) & (F.col("player") == player))
+    own = stored(own.withColumn("fold", fold_of(month_group_folds(own))))
+    models, importances, seen = {}, [], None
+    for kind in kinds:
+        learner = large_candidates(len(inputs), sizes)[kind]
+        fit = lambda df: learner.fit(df.withColumn("vector", array_to_vector("features")))  # noqa: B023, E731
+        whole = models[session_type, player, kind] = fit(own)
+        shares = [float(v) for v in whole.featureImportances.toArray()] if hasattr(whole, "featureImportances") else None
+        importances.append((session_type, player, kind, None, shares))
+        for fold in range(FOLDS):
+            scored = large_scores(own.filter(F.col("fold") == fold), fit(own.filter(F.col("fold") != fold)), "score", "said")
+            scored = large_scores(scored, whole, "refit_score", "refit_said").withColumn("model_type", F.lit(kind))
+            seen = scored if seen is None else seen.unionByName(scored)
+    return models, importances, stored(seen)
+
+
+def train_fatigue(features: Split, sizes: ModelSizes = ModelSizes(), kinds: tuple[str, ...] = CANDIDATES) -> FatigueModels:
+    """Fit the given kinds for every player and session type that has enough to learn from.
+
+    ``features`` is read several times: pass it stored.
     """
+    parts = {t: _training_table(features, t) for t in SESSION_TYPES}
+    # Read by every fit, so written once to storage that outlives executors.
+    table = stored(parts["match"][0].unionByName(parts["training"][0]))
+    spark = table.sparkSession
+    limit = int(spark.conf.get(MAX_FIT_ROWS, "20000"))
+    groups = stored(table.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")))
+    n_rows = groups.agg(F.sum("n")).first()[0]
+    if not n_rows:
+        return FatigueModels()
+    oversized = groups.filter(F.col("n") > limit).select(*GROUP)
+    large = [tuple(r) for r in oversized.collect()]
+    regular = table.join(oversized, GROUP, "left_anti") if large else table
+    fits = fit_players(regular, sizes, kinds, n_rows)
+    seen = fits.select(*GROUP, "model_type", F.inline("seen"))
+    fitted = fits.select(*GROUP, "model_type", "model", "importances")
     out = FatigueModels()
+    for session_type, player in large:
+        models, importances, scored = fit_large(table, session_type, player, sizes, kinds)
+        out.large |= models
+        fitted = fitted.unionByName(spark.createDataFrame(importances, fitted.schema))
+        seen = seen.unionByName(scored.select(*seen.columns))
+    out.held_out = stored(seen)
+    out.aucs = stored(cross_validated_auc(out.held_out))
+    best = select_best_model(out.aucs)
+    keys = [*GROUP, "model_type"]
+    counts = confusion_counts(out.held_out, keys, "performance_drop", "refit_said")
+    unseen = confusion_counts(out.held_out, keys, "performance_drop", "said")
+    unseen = unseen.select(*keys, *[F.col(c).alias(f"held_out_{c}") for c in ("tn", "fp", "fn", "tp")])
+    named = F.lit(None).cast("array<string>")
     for session_type in SESSION_TYPES:
-        part = train_type(features, session_type, sizes)
-        if part is None:
-            continue
-        out.models |= part.models
-        for name in ("registry", "scalers", "held_out", "aucs"):
-            so_far, new = getattr(out, name), getattr(part, name)
-            setattr(out, name, new if so_far is None else so_far.unionByName(new, allowMissingColumns=True))
+        own = F.array(*map(F.lit, FATIGUE_FEATURES[session_type]))
+        named = F.when(F.col("session_type") == session_type, own).otherwise(named)
+    chosen = stored(best.join(fitted, keys).withColumn("features", named))
+    registry = chosen.drop("model").withColumn("importances", F.when(F.col("importances").isNotNull(), F.map_from_arrays("features", "importances")))
+    out.registry = stored(registry.join(counts, keys).join(unseen, keys))
+    out.models = chosen.filter(F.col("model").isNotNull()).select(*keys, "model")
+    scalers = [parts[t][1].withColumn("session_type", F.lit(t)) for t in SESSION_TYPES]
+    out.scalers = scalers[0].unionByName(scalers[1], allowMissingColumns=True)
     return out
 
 
+def score_group(rows: pa.Table, models: pa.Table) -> pa.Table:
+    """One player's sessions by the packed model chosen for it."""
+    x = np.array(rows.column("features").to_pylist(), dtype=float)
+    kind, model = models.column("model_type")[0].as_py(), models.column("model")[0].as_py()
+    risk = learners.probabilities(kind, model, x)
+    return rows.drop_columns(["features", "salt"]).append_column("risk", pa.array(risk, pa.float64()))
+
+
 def score_sessions(rows: Split, fatigue: FatigueModels) -> DataFrame:
     """Risk of a drop after each session that has a model and a complete feature vector.
 
-    A session is standardised like the data its model learned from.
+    A session is standardised like the data its model learned from. An oversized player's sessions meet
+    copies of its model in several tasks.
     """
-    out = None
-    for session_type, models in fatigue.models.items():
-        inputs = FATIGUE_FEATURES[session_type]
-        ready = rows.each(lambda df: drop_null_features(df, session_type).select(*KEY, "session_type", *inputs))
-        own = fatigue.registry.filter(F.col("session_type") == session_type)
-        chosen = own.select("player", "model_type", "auc", "tn", "fp", "fn", "tp", "importances")
-        ready = lookup(ready, chosen, ["player"], how="inner")
+    ready = None
+    keys = [*KEY, "session_type"]
+    for session_type, inputs in FATIGUE_FEATURES.items():
+        part = rows.each(lambda df: drop_null_features(df, session_type).select(*keys, *inputs))
+        chosen = fatigue.registry.filter(F.col("session_type") == session_type).select("player", "model_type")
         scalers = fatigue.scalers.filter(F.col("session_type") == session_type)
         scalers = scalers.select("player", *[f"{s}_{f}" for f in inputs for s in ("mean", "std")])
-        scaled = standardize(ready, scalers, inputs).union()
-        vectors = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(scaled)
-        scored = candidate_scores(vectors, models)
-        risk = F.lit(None).cast("double")
-        for kind in models:
-            risk = F.when(F.col("model_type") == kind, F.col(f"score_{kind}")).otherwise(risk)
-        scored = scored.select(
-            *KEY,
-            "session_type",
-            "model_type",
-            risk.alias("risk"),
-            (risk * 100).alias("risk_score"),
-            (F.col("auc") * 100).alias("confidence"),
-            F.struct("tn", "fp", "fn", "tp").alias("confusion"),
-            "importances",
-        )
-        out = scored if out is None else out.union(scored)
-    return out
+        scaled = standardize(lookup(part, chosen, ["player"], how="inner"), scalers, inputs)
+        vector = F.array(*[F.col(f).cast("double") for f in inputs]).alias("features")
+        salt = F.pmod(F.xxhash64(*KEY), F.lit(SCORING_SALTS))
+        own = scaled.regular.withColumn("salt", F.lit(0).cast("long"))
+        if scaled.heavy is not None:
+            own = own.unionByName(scaled.heavy.withColumn("salt", salt.cast("long")))
+        own = own.select(*keys, "model_type", vector, "salt")
+        ready = own if ready is None else ready.unionByName(own)
+    share_code(ready.sparkSession)
+    copies = fatigue.models.select(*GROUP, "model_type", "model", F.lit(0).cast("long").alias("salt"))
+    if rows.heavy is not None:
+        salts = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(SCORING_SALTS - 1).cast("long")))
+        more = fatigue.models.join(rows.players, "player", "left_semi").withColumn("salt", salts)
+        copies = copies.unionByName(more.select(*copies.columns))
+    by = [*GROUP, "salt"]
+    kinds = f"{', '.join(f'{c} {ready.schema[c].dataType.simpleString()}' for c in [*keys, 'model_type'])}, risk double"
+    small = ready
+    for session_type, player, _ in fatigue.large:
+        small = small.filter((F.col("session_type") != session_type) | (F.col("player") != player))
+    out = small.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(_scored_or_empty(), kinds)
+    for (session_type, player, kind), model in fatigue.large.items():
+        picked = (F.col("session_type") == session_type) & (F.col("player") == player) & (F.col("model_type") == kind)
+        out = out.unionByName(large_scores(ready.filter(picked), model, "risk", "said").select(*out.columns))
+    about = fatigue.registry.select(*GROUP, (F.col("auc") * 100).alias("confidence"), F.struct("tn", "fp", "fn", "tp").alias("confusion"), "importances")
+    scored = out.join(about, GROUP)
+    return scored.select(*keys, "model_type", "risk", (F.col("risk") * 100).alias("risk_score"), "confidence", "confusion", "importances")
+
+
+def _scored_or_empty() -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """``score_group`` for a player with sessions and a model; models without sessions give no rows."""
+
+    def score(rows: pa.Table, models: pa.Table) -> pa.Table:
+        if rows.num_rows and models.num_rows:
+            return score_group(rows, models)
+        empty = rows.slice(0, 0)
+        return empty.drop_columns(["features", "salt"]).append_column("risk", pa.array([], pa.float64()))
+
+    return score

@@ -100,7 +100,7 @@ class LoadAnalytics:
             raise ValueError("There are no sessions to report on")
         features = split_features(sessions, PREDICT_GROUPS)
         rows = insights.insight_rows(features, as_of, all_sessions)
-        if self.fatigue.models:
+        if self.fatigue.models is not None:
             rows = self._add_fatigue(rows)
         elif taper_needs_model:
             rows = rows.each(lambda df: df.withColumn("model_type", F.lit(None).cast("string")))

@@ -496,16 +496,21 @@ def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-# What training learned, by application and folder: one training serves all queries of a session.
-_TRAINED: dict[tuple[str, str], M.FatigueModels] = {}
-
-
-def _trained(spark: SparkSession, sf_dir: str) -> M.FatigueModels:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        _TRAINED.clear()  # frames of another session or folder are of no use
-        _TRAINED[key] = M.train_fatigue(M.fatigue_features(sessions(spark, sf_dir)).each(stored), QUERY_SIZES)
-    return _TRAINED[key]
+# What training learned, by application, folder and kinds: one training serves all queries of a session.
+_TRAINED: dict[tuple, M.FatigueModels] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = M.CANDIDATES) -> M.FatigueModels:
+    """Models of the given kinds at least."""
+    session = spark.sparkContext.applicationId, sf_dir
+    for (*same, known), found in _TRAINED.items():
+        if tuple(same) == session and set(kinds) <= set(known):
+            return found
+    for key in [k for k in _TRAINED if k[:2] != session]:
+        del _TRAINED[key]  # frames of another session or folder are of no use
+    features = M.fatigue_features(sessions(spark, sf_dir)).each(stored)
+    _TRAINED[*session, kinds] = M.train_fatigue(features, QUERY_SIZES, kinds)
+    return _TRAINED[*session, kinds]
 
 
 def month_group_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -579,7 +584,7 @@ def _crowded(query: Query) -> Query:
 
 def _held_out(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        scored = _trained(spark, sf_dir).held_out.filter(F.col("model_type") == kind)
+        scored = _trained(spark, sf_dir, (kind,)).held_out.filter(F.col("model_type") == kind)
         return scored.select("session_type", *KEY, "fold", "performance_drop", "score")
 
     return run
@@ -590,20 +595,10 @@ def cross_validated_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refit_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every session scored by the models fitted on all months."""
-    fatigue = _trained(spark, sf_dir)
-    rows = M.fatigue_features(sessions(spark, sf_dir))
-    out = None
-    for kind, models in fatigue.models.items():
-        inputs = M.FATIGUE_FEATURES[kind]
-        scalers = fatigue.scalers.filter(F.col("session_type") == kind).drop("session_type")
-        ready = rows.each(lambda df: M.drop_null_features(df, kind).select(*KEY, "session_type", *inputs))
-        scaled = M.standardize(ready, scalers, inputs).union()
-        vectors = M.VectorAssembler(inputCols=list(inputs), outputCol="features").transform(scaled)
-        scored = M.candidate_scores(vectors, models)
-        scored = scored.select(*KEY, "session_type", *[f"score_{k}" for k in M.CANDIDATES])
-        out = scored if out is None else out.union(scored)
-    return out
+    """Every session that was learned from, scored by its player's models fitted on all months."""
+    seen = _trained(spark, sf_dir).held_out
+    scores = [F.max(F.when(F.col("model_type") == k, F.col("refit_score"))).alias(f"score_{k}") for k in M.CANDIDATES]
+    return seen.groupBy(*KEY, "session_type").agg(*scores)
 
 
 def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

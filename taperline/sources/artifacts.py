@@ -24,7 +24,8 @@ MODEL_CLASSES = {
     "GradientBoosting": GBTClassificationModel,
     "NeuralNetwork": MultilayerPerceptronClassificationModel,
 }
-FATIGUE_TABLES = ("registry", "scalers")
+FATIGUE_TABLES = ("registry", "scalers", "models")
+LARGE = "session_type string, player string, model_type string, folder string"
 CURRENT = "CURRENT"
 
 
@@ -64,9 +65,12 @@ def save_artifacts(path: str, tables: dict[str, DataFrame], fatigue: FatigueMode
         table = getattr(fatigue, name)
         if table is not None:
             table.write.parquet(f"{path}/{version}/tables/{name}")
-    for session_type, models in fatigue.models.items():
-        for kind, model in models.items():
-            model.write().save(f"{path}/{version}/models/{session_type}/{kind}")
+    listed = []
+    for number, (key, model) in enumerate(sorted(fatigue.large.items())):
+        model.write().save(f"{path}/{version}/models/{number}")
+        listed.append((*key, f"models/{number}"))
+    if listed:
+        spark.createDataFrame(listed, LARGE).write.parquet(f"{path}/{version}/tables/large")
     _name_versions(spark, path, [version, *earlier[:1]])
     for old in earlier[1:]:
         target, files = _path(spark, f"{path}/{old}")
@@ -83,9 +87,8 @@ def load_artifacts(spark: SparkSession, path: str, names: list[str]) -> tuple[di
     for name in FATIGUE_TABLES:
         if _exists(spark, f"{path}/tables/{name}"):
             setattr(fatigue, name, spark.read.parquet(f"{path}/tables/{name}"))
-    for session_type in ("match", "training"):
-        for kind, cls in MODEL_CLASSES.items():
-            where = f"{path}/models/{session_type}/{kind}"
-            if _exists(spark, where):
-                fatigue.models.setdefault(session_type, {})[kind] = cls.load(where)
+    if _exists(spark, f"{path}/tables/large"):
+        # One row per oversized player and kind.
+        for session_type, player, kind, folder in spark.read.parquet(f"{path}/tables/large").collect():
+            fatigue.large[session_type, player, kind] = MODEL_CLASSES[kind].load(f"{path}/{folder}")
     return tables, fatigue

@@ -1,11 +1,10 @@
 import pytest
 from helpers import make_sessions
-from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
 from taperline import LoadAnalytics, queries
 from taperline.operators import metrics, taper, zones
-from taperline.operators.fatigue import ModelSizes, candidates, month_group_folds, select_best_model
+from taperline.operators.fatigue import ModelSizes, large_candidates, month_group_folds, select_best_model
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import train_and_report
 from taperline.schema import require_columns
@@ -39,10 +38,10 @@ def test_csv_export_in_any_column_order(spark, tmp_path):
 
 
 def test_registered_classifiers_are_whole(spark):
-    """The reference's iterations, Spark's own tolerance, and no smaller sizes for the registered queries."""
-    network = candidates(3, queries.QUERY_SIZES)["NeuralNetwork"]
-    assert queries.QUERY_SIZES == ModelSizes()
-    assert (network.getMaxIter(), network.getTol()) == (1000, MultilayerPerceptronClassifier().getTol())
+    """The reference's trees, rounds, iterations and tolerance, and no smaller sizes for the registered queries."""
+    assert queries.QUERY_SIZES == ModelSizes() == ModelSizes(100, 100, 3, 0.1, (50, 20), 1000, 1e-4)
+    network = large_candidates(3, queries.QUERY_SIZES)["NeuralNetwork"]
+    assert (network.getMaxIter(), network.getTol()) == (1000, 1e-4)
 
 
 def test_split_does_not_depend_on_partitions(spark):
