@@ -20,6 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from taperline.functions.expressions import month_bucket
@@ -97,21 +98,95 @@ def drop_null_features(df: DataFrame, session_type: str) -> DataFrame:
 
 
 def player_scalers(clean: DataFrame, features: tuple[str, ...]) -> DataFrame:
-    """Mean and population deviation per player."""
+    """Mean and population deviation per player, and over how many sessions."""
     stats = [a for f in features for a in (F.avg(f).alias(f"mean_{f}"), F.stddev_pop(f).alias(f"std_{f}"))]
-    return clean.groupBy("player").agg(*stats)
+    return clean.groupBy("player").agg(F.count(F.lit(1)).alias("scaler_n"), *stats)
 
 
-def standardize(rows: Split, scalers: DataFrame, features: tuple[str, ...]) -> Split:
-    """Replace features by z-scores; 0 where a player's feature never varies.
+def merged_scalers(*parts: DataFrame) -> DataFrame:
+    """Scalers of several disjoint sets of sessions as those of all of them; the sessions are not read again.
 
-    Players without a scaler drop out: nothing was learned about them.
+    Parts may have further key columns beside the player, such as the session type.
     """
-    scaled = {
+    columns = parts[0].columns
+    features = [c.removeprefix("mean_") for c in columns if c.startswith("mean_")]
+    keys = [c for c in columns if c != "scaler_n" and not c.startswith(("mean_", "std_"))]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    # One entry per part; deviations from the common mean are added where they arise, so nothing cancels out.
+    held = stacked.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in columns if c not in keys])).alias("parts"))
+
+    def total(of: Column) -> Column:
+        """The sum over parts of an expression of their columns."""
+        return F.aggregate(of, F.lit(0.0), lambda so_far, v: so_far + F.coalesce(v, F.lit(0.0)))
+
+    size = F.col("parts.scaler_n")
+    n = total(F.transform(size, lambda v: v.cast("double")))
+    product = lambda a, b: F.zip_with(a, b, lambda x, y: x * y)
+    means = {f"mean_{f}": total(product(size, F.col(f"parts.mean_{f}"))) / n for f in features}
+
+    def deviation(f: str) -> Column:
+        common = F.col(f"mean_{f}")
+        inside = F.transform(F.col(f"parts.std_{f}"), lambda v: F.pow(v, 2))
+        between = F.transform(F.col(f"parts.mean_{f}"), lambda v: F.pow(v - common, 2))
+        return F.sqrt((total(product(size, inside)) + total(product(size, between))) / n)
+
+    # Features that a session type does not have stay NULL.
+    absent = {f: F.forall(f"parts.mean_{f}", lambda v: v.isNull()) for f in features}
+    found = held.withColumns(means).withColumns({f"std_{f}": deviation(f) for f in features}).withColumn("scaler_n", n.cast("long"))
+    found = found.withColumns({f"{s}_{f}": F.when(~absent[f], F.col(f"{s}_{f}")) for f in features for s in ("mean", "std")})
+    return found.select(*columns)
+
+
+def z_scores(features: tuple[str, ...]) -> dict[str, Column]:
+    """0 where a player's feature never varies."""
+    return {
         f: F.coalesce(F.try_divide(F.col(f) - F.col(f"mean_{f}"), F.col(f"std_{f}")), F.lit(0.0)) for f in features
     }
-    spent = [f"{s}_{f}" for f in features for s in ("mean", "std")]
-    return lookup(rows, scalers, ["player"], how="inner").each(lambda df: df.withColumns(scaled).drop(*spent))
+
+
+def standardize(rows: Split, scalers: DataFrame, features: tuple[str, ...]) -> Split:
+    """Replace features by z-scores.
+
+    Players without a scaler drop out: nothing was learned about them.
+    """
+    spent = ["scaler_n", *[f"{s}_{f}" for f in features for s in ("mean", "std")]]
+    return lookup(rows, scalers, ["player"], how="inner").each(lambda df: df.withColumns(z_scores(features)).drop(*spent))
+
+
+def standardize_own(rows: Split) -> Split:
+    """Complete sessions of both types as z-scores within player and type, on the exchange that made the features.
+
+    Features that matches do not have are NULL there. An oversized player's scalers are joined.
+    """
+    keys = ["player", "session_type"]
+    own = W.partitionBy(*keys)
+    stats = [(f"{s}_{f}", a(f)) for f in TRAINING_FEATURES for s, a in (("mean", F.avg), ("std", F.stddev_pop))]
+    spent = [name for name, _ in stats]
+
+    def usable(df: DataFrame) -> DataFrame:
+        complete = F.lit(False)
+        for kind, inputs in FATIGUE_FEATURES.items():
+            present = F.col("session_type") == kind
+            for f in inputs:
+                present = present & F.col(f).isNotNull()
+            complete = complete | present
+        return df.filter(complete)
+
+    def scaled(df: DataFrame) -> DataFrame:
+        scores = z_scores(TRAINING_FEATURES)
+        for f in set(TRAINING_FEATURES) - set(FATIGUE_FEATURES["match"]):
+            scores[f] = F.when(F.col("session_type") != "match", scores[f])
+        return df.withColumns(scores).drop(*spent)
+
+    rows = rows.each(usable)
+    heavy = rows.heavy
+    if heavy is not None:
+        # One row per type for each of at most rows / maxGroupRows players.
+        heavy = heavy.join(stored(heavy.groupBy(*keys).agg(*[a.alias(n) for n, a in stats])), keys)
+    regular = rows.regular.withColumns({n: a.over(own) for n, a in stats})
+    return Split(regular, heavy, rows.players).each(scaled)
 
 
 def trainable_players(features: DataFrame, session_type: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Features of heavy players, computed without bringing a player together.
 
-Windows over time read a rollup with one row per player and date (or instant), in spans of 28
-days with their neighbours. Windows over a number of rows first give every row its position, from counts of
-small ordered slices, then run on blocks of consecutive positions that also see the last
-few rows of the block before.
+Windows over time read a rollup with one row per player and date, in spans of 28 days with their
+neighbours. Where there is one row per instant, they go by pieces (``running``), as a day may hold any
+number of instants. Windows over a number of rows first give every row its position, by pieces too, then
+run on blocks of consecutive positions that also see the last few rows of the block before.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from taperline.functions.expressions import add_present
-from taperline.operators.hotspots import max_group_rows, salted_join, slice_of, stored
+from taperline.operators.hotspots import max_group_rows, salted_join, stored
 from taperline.operators.quantiles import select_by_rank
 from taperline.operators.rules import (
     ACUTE_DAYS,
@@ -35,6 +35,7 @@ from taperline.operators.rules import (
     vs_baseline,
     with_match_days,
 )
+from taperline.operators.running import PIECE, Aggregates, in_pieces, over_range, running
 from taperline.schema import PERFORMANCE_METRICS, SESSION_TYPES, TAPER_METRICS, TIE_BREAK
 
 PAST = (W.unboundedPreceding, -1)
@@ -153,9 +154,6 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     """Per player and date: what the windows over time need, already looked up."""
     held: dict[str, Column] = {
         "n_salts": F.max("n_salts"),
-        "_n": F.count(F.lit(1)),
-        "_low": F.min("k1"),
-        "_high": F.max("k1"),
         "_load": F.sum(training_load()),
         "_trainings": F.count_if(is_training()),
         "_matches": F.count_if(is_match()),
@@ -170,8 +168,10 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
     if "taper_matches" in groups:
         held["_good"] = F.count_if("taper_good")
     dates = df.groupBy("player", "t").agg(*[c.alias(n) for n, c in held.items()])
+    if unit > 1:
+        return _instants(stored(dates), groups, unit, max_group_rows(df.sparkSession))
     # Frames reach at most CHRONIC_DAYS back or PRE_MATCH_DAYS ahead: with its two neighbours, a span of
-    # that many days holds all of them, and no window holds a whole player of instants.
+    # that many days holds all of them, in as many rows.
     dates = stored(dates.withColumn("_span", F.floor(F.col("t") / (CHRONIC_DAYS * unit))))
     near = dates.withColumn("_home", F.explode(F.array(F.col("_span") - 1, F.col("_span"), F.col("_span") + 1)))
     home = W.partitionBy("player", "_home")
@@ -205,13 +205,48 @@ def _dates(df: DataFrame, groups: set[str], unit: int) -> DataFrame:
             own = F.when(F.col("_trainings") > 0, add_present(F.col(f"_{name}"), F.col("_load")))
             dates = dates.withColumn(f"_{name}_own", own)
             dates = dates.withColumn(f"_{name}_carried", F.last(f"_{name}_own", ignorenulls=True).over(inside))
-    dates = _beyond_spans(stored(dates), groups, match_t)
-    spent = ["_span", "_load", "_trainings", "_matches", "_good", "_acute_own", "_chronic_own"]
-    return dates.drop(*spent, *[f"_good_{m}" for m in PERFORMANCE_METRICS])
+    return _with_overall(_beyond_spans(stored(dates), groups, match_t), groups)
+
+
+def _instants(dates: DataFrame, groups: set[str], unit: int, limit: int) -> DataFrame:
+    """The same with one row per instant: a day may hold any number of them, so every frame goes by pieces."""
+    match_t = F.when(F.col("_matches") > 0, F.col("t"))
+    frames: list[tuple[tuple[int, int], Aggregates]] = []
+    if "training_load" in groups:
+        for name, days in (("acute", ACUTE_DAYS), ("chronic", CHRONIC_DAYS)):
+            frames.append(((1 - days * unit, -1), {f"_{name}": ("sum", F.col("_load"))}))
+    if "speed" in groups:
+        week = {f"_fastest_{k}": ("max", F.col(f"_fastest_{k}")) for k in SESSION_TYPES}
+        week |= {f"_peers_{k}": ("sum", F.col(f"_peers_{k}")) for k in SESSION_TYPES}
+        frames.append(((-SPEED_DAYS * unit, 0), week))
+    if "good_matches" in groups:
+        ahead = {f"ahead_{m}": ("sum", F.col(f"_good_{m}")) for m in PERFORMANCE_METRICS}
+        frames.append(((1, PRE_MATCH_DAYS * unit), ahead))
+    if "taper_matches" in groups:
+        for k in range(1, PRE_MATCH_DAYS + 1):
+            frames.append((days_before_frame(k, unit), {f"ahead_{k}": ("sum", F.col("_good"))}))
+    found = dates
+    for (low, high), aggregates in frames:
+        found = found.drop(*aggregates).join(over_range(dates, "player", "t", low, high, aggregates, limit), ["player", "t"], "left")
+    found = found.withColumns({c: F.coalesce(c, F.lit(0)) for c in found.columns if c.startswith("ahead_")})
+    carried: Aggregates = {}
+    if "training_load" in groups:
+        for name in ("acute", "chronic"):
+            own = F.when(F.col("_trainings") > 0, add_present(F.col(f"_{name}"), F.col("_load")))
+            found = found.withColumn(f"_{name}_own", own)
+            carried[f"_{name}_carried"] = ("last", F.col(f"_{name}_own"))
+    if "match_days" in groups:
+        carried["prev_match"] = ("max", match_t)
+    if carried:
+        found = running(in_pieces(found, ["player", "t"], limit), ["player"], ["t"], carried, own=False)
+        if "match_days" in groups:
+            found = running(found, ["player"], ["t"], {"next_match": ("min", match_t)}, backwards=True, own=False)
+        found = found.drop(PIECE)
+    return _with_overall(stored(found), groups)
 
 
 def _beyond_spans(dates: DataFrame, groups: set[str], match_t: Column) -> DataFrame:
-    """What reaches over the spans: the nearest match, loads carried on, and facts of the whole player."""
+    """What reaches over the spans: the nearest match and loads carried on."""
     held: dict[str, Column] = {}
     if "match_days" in groups:
         held |= {"_last_match": F.max(match_t), "_first_match": F.min(match_t)}
@@ -238,6 +273,11 @@ def _beyond_spans(dates: DataFrame, groups: set[str], match_t: Column) -> DataFr
         if "training_load" in groups:
             dates = dates.withColumns({f"_{n}_carried": F.coalesce(f"_{n}_carried", f"_{n}_last") for n in ("acute", "chronic")})
         dates = dates.drop(*held)
+    return dates
+
+
+def _with_overall(dates: DataFrame, groups: set[str]) -> DataFrame:
+    """Facts of the whole player; what served the windows goes."""
     overall: dict[str, Column] = {}
     if "training_load" in groups:
         overall["n_training"] = F.sum("_trainings")
@@ -246,36 +286,21 @@ def _beyond_spans(dates: DataFrame, groups: set[str], match_t: Column) -> DataFr
             overall[f"prepared_{m}"] = F.max((F.col("_trainings") > 0) & (F.col(f"ahead_{m}") > 0))
     if overall:
         dates = dates.join(stored(dates.groupBy("player").agg(*[c.alias(n) for n, c in overall.items()])), "player")
-    return dates
+    spent = ["_span", "_load", "_trainings", "_matches", "_good", "_acute_own", "_chronic_own"]
+    return dates.drop(*spent, *[f"_good_{m}" for m in PERFORMANCE_METRICS])
 
 
 def _positions(df: DataFrame, groups: set[str], limit: int) -> DataFrame:
     """``_at``: 0-based position in the player's history; running training load of the date."""
-    pieces = F.ceil(F.col("_n") / limit).cast("int")
-    df = df.withColumn("_slice", slice_of(F.col("k1"), F.col("_low"), F.col("_high"), pieces))
-    keys = ["player", "t", "_slice"]
-    held = {"_rows": F.count(F.lit(1))}
-    if "training_load" in groups:
-        held |= {"_slice_load": F.sum(training_load()), "_slice_trainings": F.count_if(is_training())}
-    slices = df.groupBy(*keys).agg(*[c.alias(n) for n, c in held.items()])
-    before = {"_start": F.coalesce(F.sum("_rows").over(W.partitionBy("player").orderBy("t", "_slice").rowsBetween(*PAST)), F.lit(0))}
-    if "training_load" in groups:
-        same_date = W.partitionBy("player", "t").orderBy("_slice").rowsBetween(*PAST)
-        before["_load_before"] = F.sum("_slice_load").over(same_date)
-        before["_trainings_before"] = F.coalesce(F.sum("_slice_trainings").over(same_date), F.lit(0))
-    slices = stored(slices.withColumns(before).drop(*held))
-    df = df.join(slices, keys)
-    inside = W.partitionBy(*keys).orderBy(*TIE_BREAK)
-    df = df.withColumn("_at", F.col("_start") + F.row_number().over(inside) - 1)
+    order = ["t", *TIE_BREAK]
+    pieces = in_pieces(df, ["player", *order], limit)
+    before = {"_at": ("sum", F.lit(1))}
+    df = running(pieces, ["player"], order, before)
+    df = df.withColumn("_at", F.col("_at") - 1)
     if "training_load" not in groups:
-        return df
-    upto = inside.rowsBetween(W.unboundedPreceding, 0)
-    df = df.withColumns(
-        {
-            "_today": add_present(F.col("_load_before"), F.sum(training_load()).over(upto)),
-            "_trained": F.col("_trainings_before") + F.count_if(is_training()).over(upto) > 0,
-        }
-    )
+        return df.drop(PIECE)
+    today = {"_today": ("sum", training_load()), "_trained": ("sum", is_training().cast("int"))}
+    df = running(df, ["player", "t"], order, today).drop(PIECE).withColumn("_trained", F.col("_trained") > 0)
     return df.withColumns(
         {
             f"training_{name}_load": F.coalesce(

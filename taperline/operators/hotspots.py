@@ -122,9 +122,3 @@ def salted_join(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame
     copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1))).drop("n_salts")
     return rows.join(copies, keys + ["salt"])
 
-
-def slice_of(key: Column, low: Column, high: Column, pieces: Column) -> Column:
-    """Which of ``pieces`` equal steps of [low, high] holds ``key``; never decreases with it."""
-    at, start, stop = (c.cast("double") for c in (key, low, high))
-    step = F.floor((at - start) / (stop - start + 1.0) * pieces)
-    return F.when(pieces > 1, F.least(pieces - 1, step)).otherwise(0).cast("int")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SCORE_SLICES = 1024
+from taperline.operators.hotspots import max_group_rows
+from taperline.operators.running import in_pieces, running
 
 
 def confusion_counts(df: DataFrame, keys: list[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -35,24 +35,16 @@ def class_balance(df: DataFrame, keys: list[str], label: str = "label") -> DataF
 def roc_auc(df: DataFrame, keys: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve, ties counted half; NULL for a group of one class.
 
-    Scores (between 0 and 1) are counted per distinct value, then ranked in two steps:
-    within a slice of the score range, and over at most ``SCORE_SLICES`` + 1 slices.
+    Scores are counted per distinct value and ranked by pieces of consecutive ones, so neither a large
+    group nor a narrow range of scores meets in one task.
     """
     counted = df.groupBy(*keys, F.col(score).alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    counted = counted.withColumn("_slice", F.floor(F.col("_score") * SCORE_SLICES))
-    below = W.partitionBy(*keys, "_slice").orderBy("_score").rowsBetween(W.unboundedPreceding, -1)
-    inside = counted.withColumn("_neg_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
-    slices = inside.groupBy(*keys, "_slice").agg(
-        F.sum("_pos").alias("_pos"),
-        F.sum("_neg").alias("_neg"),
-        F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2)).alias("_won"),
-    )
-    under = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    slices = slices.withColumn("_neg_under", F.coalesce(F.sum("_neg").over(under), F.lit(0)))
-    won = F.sum(F.col("_won") + F.col("_pos") * F.col("_neg_under"))
-    return slices.groupBy(*keys).agg(
+    pieces = in_pieces(counted, [*keys, "_score"], max_group_rows(df.sparkSession))
+    ranked = running(pieces, keys, ["_score"], {"_neg_below": ("sum", F.col("_neg"))}, own=False)
+    won = F.sum(F.col("_pos") * (F.coalesce("_neg_below", F.lit(0)) + F.col("_neg") / 2))
+    return ranked.groupBy(*keys).agg(
         F.try_divide(won.cast("double"), F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"),
         F.sum("_pos").alias("n_positive"),
         F.sum("_neg").alias("n_negative"),

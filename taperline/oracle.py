@@ -7,7 +7,7 @@ sums are taken directly, and quantiles come from ``quantile_cont``.
 from __future__ import annotations
 
 from taperline.queries import HEAVY
-from taperline.sources.bindings import EVENTS_SQL, SESSIONS_SQL, SPARSE_SQL
+from taperline.sources.bindings import DENSE_PLAYER, EVENT_PLAYER, EVENTS_SQL, SESSIONS_SQL, SPARSE_SQL
 
 # Fixed values, written out again so that a wrong one on either side shows.
 TRAINING_TARGETS = {
@@ -38,7 +38,9 @@ FEATURES = {"match": MATCH_INPUTS, "training": TRAINING_FEATURES}
 KEY = "player, session_date, k1, k2, k3"
 RAW = SESSIONS_SQL.format(lineitem="lineitem", supplier="supplier")
 SPARSE = SPARSE_SQL.format(orders="orders")
-EVENTS = EVENTS_SQL.format(events="events", speed="CAST(CAST(json_extract(props, '$.k') AS INT) AS DOUBLE)")
+SPEED = "CAST(CAST(json_extract(props, '$.k') AS INT) AS DOUBLE)"
+EVENTS = EVENTS_SQL.format(events="events", speed=SPEED, player=EVENT_PLAYER)
+DENSE_EVENTS = EVENTS_SQL.format(events="events", speed=SPEED, player=DENSE_PLAYER)
 TYPE = """CASE WHEN lower(tags) LIKE '%match%' OR lower(tags) LIKE '%game%' OR lower(tags) LIKE '%fixture%'
           OR lower(tags) LIKE '%competition%' THEN 'match' ELSE 'training' END"""
 AS_OF = "DATE '1998-07-01'"
@@ -377,10 +379,25 @@ def all_sql() -> dict[str, str]:
     taper_columns = [
         "load_percentage", "high_intensity", "high_acceleration_count", "high_deceleration_count", "recommended_duration",
     ]
-    split = f"""CAST(('0x' || substr(md5(concat_ws('|', player, CAST(session_date AS VARCHAR), k1, k2, k3)), 1, 8))
-      AS BIGINT) % 100 < 20"""
+    place = f"""row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws('|', player,
+      CAST(session_date AS VARCHAR), k1, k2, k3)), 1, 15)) AS BIGINT), {KEY})"""
     n_columns = 29
     sql = {
+        "quarantine": f"""SELECT k1, k2, k3, CASE WHEN k1 % 11 = 0 THEN 'no player' ELSE 'no readable date' END AS reason
+          FROM ({RAW}) WHERE k1 % 11 = 0 OR k1 % 13 = 0""",
+        "zone_pairs": f"""SELECT {", ".join(f"f.{c}" for c in KEY.split(", "))}, metric, good.session_date AS match_session_date,
+          good.k1 AS match_k1, good.k2 AS match_k2, good.k3 AS match_k3,
+          CAST(date_diff('day', f.session_date, good.session_date) AS INTEGER) AS days_before
+          FROM f JOIN good ON f.player = good.player AND f.session_date >= good.session_date - 7
+          AND f.session_date < good.session_date WHERE f.session_type = 'training'""",
+        "taper_pairs": f"""SELECT {", ".join(f"s.{c}" for c in KEY.split(", "))}, m.session_date AS match_session_date,
+          m.k1 AS match_k1, m.k2 AS match_k2, m.k3 AS match_k3,
+          CAST(date_diff('day', s.session_date, m.session_date) AS INTEGER) AS days_before
+          FROM s JOIN strong m ON s.player = m.player AND s.session_date >= m.session_date - 7
+          AND s.session_date < m.session_date WHERE s.session_type = 'training'""",
+        "incremental_scalers": "SELECT player, count(*) AS scaler_n, "
+        + ", ".join(f"round(avg({x}), 6) AS mean_{x}, round(stddev_pop({x}), 6) AS std_{x}" for x in TRAINING_FEATURES)
+        + f" FROM {clean('training')} GROUP BY player",
         "read_sessions": f"""SELECT {KEY}, CAST(session_date AS TIMESTAMP) AS session_ts, tags, position, player_load,
           sprints, duration, dist_power_25_30, impact_gt20 FROM ({RAW})""",
         "default_position": f"SELECT {KEY}, 'Unknown' AS position FROM ({RAW})",
@@ -392,7 +409,8 @@ def all_sql() -> dict[str, str]:
         "order_sessions": f"SELECT {KEY}, player_load FROM ({RAW}) ORDER BY {KEY}",
         "dataset_profile": f"""SELECT count(*) AS n_sessions, CAST({n_columns} AS BIGINT) AS n_columns,
           count(DISTINCT player) AS n_players FROM ({RAW})""",
-        "train_test_split": f"SELECT {KEY}, CASE WHEN {split} THEN 'test' ELSE 'train' END AS part FROM ({RAW})",
+        "train_test_split": f"""SELECT {KEY}, CASE WHEN {place} <= ceil(0.2 * count(*) OVER ())
+          THEN 'test' ELSE 'train' END AS part FROM ({RAW})""",
         "union_players": f"""SELECT {KEY}, position, player_load FROM ({RAW})
           UNION ALL SELECT {KEY}, NULL, player_load FROM ({SPARSE})""",
         "distinct_players": f"SELECT DISTINCT player FROM ({RAW})",
@@ -540,4 +558,6 @@ def all_sql() -> dict[str, str]:
         "standardize_per_player": _standard(),
     }
     out = {name: with_views(text) for name, text in sql.items()}
+    for name in ("training_load", "match_days"):
+        out[f"dense_{name}"] = out[f"subday_{name}"].replace(EVENTS, DENSE_EVENTS)
     return out | {f"{name}_heavy": out[name] for name in HEAVY}

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from taperline.operators.hotspots import max_group_rows
+from taperline.operators.running import in_pieces, running
 from taperline.plans.insights import WEEK
 
 # Colour of a risk score in percent, highest first.
@@ -62,18 +63,13 @@ def risk_colour(risk: Column) -> Column:
 def rank_by_risk(risks: DataFrame) -> DataFrame:
     """Players by falling risk; equal scores share a rank.
 
-    The rank is the number of players with a higher score, from counts per distinct score:
-    first over whole percent (at most 101 rows), then within one percent.
+    The rank is one more than the number of players with a higher score, from counts per distinct score
+    in pieces of consecutive ones, whatever range the scores lie in. A player without a score has no rank.
     """
-    counts = risks.groupBy("risk_score").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_percent", F.floor("risk_score"))
-    percents = counts.groupBy("_percent").agg(F.sum("_n").alias("_total"))
-    above = W.orderBy(F.desc("_percent")).rowsBetween(W.unboundedPreceding, -1)
-    percents = percents.select("_percent", F.coalesce(F.sum("_total").over(above), F.lit(0)).alias("_above"))
-    higher = W.partitionBy("_percent").orderBy(F.desc("risk_score")).rowsBetween(W.unboundedPreceding, -1)
-    ranks = counts.join(F.broadcast(percents), "_percent").select(
-        "risk_score", (F.col("_above") + F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1).alias("risk_rank")
-    )
+    counts = risks.filter("risk_score is not null").groupBy("risk_score").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = in_pieces(counts, ["risk_score"], max_group_rows(risks.sparkSession))
+    higher = running(pieces, [], ["risk_score"], {"_above": ("sum", F.col("_n"))}, backwards=True, own=False)
+    ranks = higher.select("risk_score", (F.coalesce("_above", F.lit(0)) + 1).alias("risk_rank"))
     return risks.join(ranks, "risk_score").orderBy(F.desc("risk_score"), "player")
 
 

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from taperline.functions import expressions as E
 from taperline.operators import fatigue as M
 from taperline.operators import features as C
-from taperline.operators import metrics, taper, zones
+from taperline.operators import metrics, pairs, taper, zones
 from taperline.operators.hotspots import MAX_GROUP_ROWS, Split, shared_folder, stored
 from taperline.operators.quantiles import grouped_quantiles
 from taperline.plans import dashboard, insights
 from taperline.plans.analytics import LoadAnalytics
 from taperline.schema import EXPORT_COLUMNS, PERFORMANCE_METRICS, SESSION_TYPES, TRAINING_FEATURES
 from taperline.sources import ingest
-from taperline.sources.bindings import event_sessions, sessions, sparse_sessions
+from taperline.sources.bindings import DENSE_PLAYER, event_sessions, sessions, sparse_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,11 @@ HEAVY = (
     "next_speed_decline",
     "subday_training_load",
     "subday_match_days",
+    "dense_training_load",
+    "dense_match_days",
+    "zone_pairs",
+    "taper_pairs",
+    "standardize_per_player",
 )
 
 
@@ -78,6 +83,21 @@ def read_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export in which some dates and players were lost: the rows that cannot be sessions."""
+    headers = {name: header for header, (name, _) in EXPORT_COLUMNS.items()}
+    table = sessions(spark, sf_dir)
+    day = F.datediff("session_date", F.lit("1899-12-30").cast("date")).cast("string")
+    day = F.when(F.col("k1") % 13 == 0, "soon").otherwise(day).alias("Date")
+    player = F.when(F.col("k1") % 11 != 0, F.col("player")).alias("Player Name")
+    rest = [F.col(c).alias(headers[c]) for c in table.columns if c in headers and c != "player"]
+    path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    table.select(player, day, *rest, "k1", "k2", "k3").write.option("header", True).csv(path)
+    _, bad = ingest.read_with_quarantine(spark, path)
+    keys = [F.get_json_object("row", f"$.{k}").cast("bigint").alias(k) for k in ("k1", "k2", "k3")]
+    return bad.select(*keys, "reason")
+
+
 def default_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.default_position(sessions(spark, sf_dir).drop("position")).select(*KEY, "position")
 
@@ -206,6 +226,19 @@ def subday_match_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select("player", "session_ts", "k1", *columns), "speed_decline")
 
 
+def dense_training_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instants where a third of all users are one player."""
+    rows = C.build_features(event_sessions(spark, sf_dir, DENSE_PLAYER), ["training_load"], grain="timestamp")
+    columns = ["training_acute_load", "training_chronic_load", "training_acwr"]
+    return rounded(rows.select("player", "session_ts", "k1", *columns), *columns)
+
+
+def dense_match_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.build_features(event_sessions(spark, sf_dir, DENSE_PLAYER), ["match_days", "speed"], grain="timestamp")
+    columns = ["days_since_match", "days_until_match", "speed_decline"]
+    return rounded(rows.select("player", "session_ts", "k1", *columns), "speed_decline")
+
+
 # -- zones and tapers -----------------------------------------------------------------
 
 
@@ -218,6 +251,19 @@ def pre_match_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*KEY, "metric", "copies", "days_until_match")
 
 
+def zone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every training session with every strong match of the following week, per metric."""
+    features = zones.zone_features(sessions(spark, sf_dir)).union()
+    training = features.filter("session_type = 'training'").select(*KEY)
+    return pairs.session_match_pairs(training, zones.good_matches_any(features).drop("value"))
+
+
+def taper_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = taper.taper_features(sessions(spark, sf_dir)).union()
+    training = features.filter("session_type = 'training'").select(*KEY)
+    return pairs.session_match_pairs(training, taper.good_matches_all(features).select(*KEY))
+
+
 def good_matches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taper.good_matches_all(taper.taper_features(sessions(spark, sf_dir)).union())
 
@@ -487,13 +533,19 @@ def fatigue_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardize_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = M.fatigue_features(sessions(spark, sf_dir)).each(stored)
-    parts = []
-    for kind, inputs in M.FATIGUE_FEATURES.items():
-        clean = features.each(lambda df, kind=kind: M.drop_null_features(df, kind))
-        scaled = M.standardize(clean, M.player_scalers(clean.union(), inputs), inputs).union()
-        parts.append(rounded(scaled.select(*KEY, "session_type", *inputs), *inputs))
-    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+    scaled = M.standardize_own(M.fatigue_features(sessions(spark, sf_dir))).union()
+    return rounded(scaled.select(*KEY, "session_type", *TRAINING_FEATURES), *TRAINING_FEATURES)
+
+
+def incremental_scalers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalers of sessions up to a date, merged with those of the sessions after it."""
+    features = M.fatigue_features(sessions(spark, sf_dir)).each(stored).union()
+    clean = M.drop_null_features(features, "training")
+    inputs = M.FATIGUE_FEATURES["training"]
+    older = F.col("session_date") <= as_of()
+    parts = [M.player_scalers(clean.filter(c), inputs) for c in (older, ~older)]
+    merged = M.merged_scalers(*parts)
+    return rounded(merged, *[c for c in merged.columns if c.startswith(("mean_", "std_"))])
 
 
 # What training learned, by application, folder and kinds: one training serves all queries of a session.
@@ -662,18 +714,18 @@ def all_queries() -> dict[str, Query]:
         "neural_net": _held_out("NeuralNetwork"),
     }
     for query in (
-        read_sessions, default_position, excel_serial_to_ts, parse_date, order_sessions, dataset_profile,
+        read_sessions, quarantine, default_position, excel_serial_to_ts, parse_date, order_sessions, dataset_profile,
         train_test_split, union_players, distinct_players, session_type, min_history_filter,
         high_intensity_metrics, high_power_distance, safe_ratio, drop_null_features, month_bucket, md_key,
         forward_fill, speed_decline, vs_baseline, rolling_avg_5, performance_target, latest_session,
-        subday_training_load, subday_match_days, good_matches_any, pre_match_sessions, good_matches_all,
+        subday_training_load, subday_match_days, dense_training_load, dense_match_days, good_matches_any, pre_match_sessions, zone_pairs, taper_pairs, good_matches_all,
         taper_sessions, zone_precedence, training_zones, training_zones_by_metric, match_zones, zone_players,
         training_means, taper_plan, eligibility, exact_quantile, lookup_player_artifacts, lookup_md_target,
         confusion_counts, confusion_cells, roc_auc, class_balance, select_best_model, rank_by_risk, risk_ranking,
         risk_banding, top3_factors, key_factors, insight_header, next_match_info, applicable_zones,
         match_prep_targets, load_status, taper_strategy, today_recommended, today_comparison, predict,
         player_status, match_preparation, taper_recommendations, readiness_summary, taper_series,
-        fatigue_features, standardize_per_player, month_group_folds, cross_validated_auc, refit_full,
+        fatigue_features, standardize_per_player, incremental_scalers, month_group_folds, cross_validated_auc, refit_full,
         model_registry, feature_importance, score_fatigue, fatigue_prediction, confusion_details, fatigue_risk,
         trainable_players, fold_auc, profile, insight_record, metrics_absent,
     ):

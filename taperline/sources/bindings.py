@@ -43,7 +43,7 @@ FROM {orders}
 """
 
 EVENTS_SQL = """
-SELECT concat('U', CAST(user_id AS STRING)) AS player,
+SELECT {player} AS player,
        ts AS session_ts, CAST(ts AS DATE) AS session_date,
        event_id AS k1, CAST(0 AS BIGINT) AS k2, CAST(0 AS BIGINT) AS k3,
        CASE WHEN event_type = 'purchase' THEN 'fixture' ELSE event_type END AS tags,
@@ -67,6 +67,12 @@ def sparse_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SPARSE_SQL, orders=_table(spark, sf_dir, "orders"))
 
 
-def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+EVENT_PLAYER = "concat('U', CAST(user_id AS STRING))"
+# A third of all users are one player.
+DENSE_PLAYER = f"CASE WHEN user_id % 3 = 0 THEN 'dense' ELSE {EVENT_PLAYER} END"
+
+
+def event_sessions(spark: SparkSession, sf_dir: str, player: str = EVENT_PLAYER) -> DataFrame:
     speed = "CAST(CAST(get_json_object(props, '$.k') AS INT) AS DOUBLE)"
-    return spark.sql(EVENTS_SQL.replace("{speed}", speed), events=_table(spark, sf_dir, "events"))
+    text = EVENTS_SQL.replace("{speed}", speed).replace("{player}", player)
+    return spark.sql(text, events=_table(spark, sf_dir, "events"))

@@ -1,5 +1,7 @@
 """The plan for oversized players gives the same rows as the ordinary one."""
 
+import re
+
 import numpy as np
 import pytest
 from helpers import make_sessions
@@ -9,6 +11,7 @@ from taperline.operators import fatigue, taper, zones
 from taperline.operators.features import GROUPS, build_features, split_features
 from taperline.operators.hotspots import MAX_GROUP_ROWS, Split
 from taperline.operators.quantiles import grouped_quantiles
+from taperline.operators.running import PIECE, in_pieces, over_range, running
 from taperline.sources import bindings
 
 SF = "/root/testdata/sf0.001"
@@ -109,3 +112,65 @@ def test_standardized_features(spark, limit):
     plain = made()
     limit(600)
     same(plain, made())
+
+
+def dense(spark, n=900, players=("A", "B")):
+    """Two players with many sessions a day, at uneven instants, some of them shared."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for player in players:
+        for i in range(n):
+            day, second = int(rng.integers(1, 12)), int(rng.integers(0, 30)) ** 2
+            stamp = f"2024-03-{day:02d} {second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}"
+            rows.append({
+                "player": player, "date": stamp, "tags": "match" if rng.random() < 0.1 else "gym", "k1": i,
+                "player_load": None if rng.random() < 0.2 else float(rng.integers(1, 9)), "top_speed": float(rng.integers(20, 60)) / 4,
+                "distance_per_min": float(rng.integers(50, 90)), "power_score": float(rng.integers(0, 9)),
+            })
+    return make_sessions(spark, rows)
+
+
+def test_instants_of_a_dense_player(spark, limit):
+    table = dense(spark)
+    everything = [*GROUPS, "good_matches", "taper_matches", "target"]
+    limit(10**9)
+    plain = build_features(table, everything, grain="timestamp").drop("t")
+    limit(50)
+    assert split_features(table, [], grain="timestamp").heavy is not None
+    same(plain, build_features(table, everything, grain="timestamp").drop("t"))
+
+
+def test_running_aggregates_and_frames_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    times = {g: np.unique(rng.integers(-300, 300, 150)) for g in "ab"}
+    rows = [(g, int(t), None if rng.random() < 0.3 else float(rng.integers(0, 50))) for g in "ab" for t in times[g]]
+    df = spark.createDataFrame(rows, "g string, t long, v double")
+    kinds = {"s": ("sum", F.col("v")), "m": ("max", F.col("v")), "n": ("min", F.col("v")), "l": ("last", F.col("v"))}
+    pieces = in_pieces(df, ["g", "t"], 20)
+    sizes = [r["count"] for r in pieces.groupBy(PIECE).count().collect()]
+    assert len(sizes) > 10 and max(sizes) <= 60
+
+    def told(values, last):
+        values = [v for v in values if v is not None]
+        return (sum(values), max(values), min(values), values[last]) if values else (None,) * 4
+
+    for backwards in (False, True):
+        for own in (False, True):
+            found = {(r.g, r.t): (r.s, r.m, r.n, r.l) for r in running(pieces, ["g"], ["t"], kinds, backwards, own).collect()}
+            for g, t, _ in rows:
+                sign = -1 if backwards else 1
+                near = [v for h, u, v in rows if h == g and (sign * u < sign * t or own and u == t)]
+                assert found[g, t] == told(near, 0 if backwards else -1), (g, t, backwards, own)
+    extremes = {k: v for k, v in kinds.items() if k != "l"}
+    for low, high in ((-40, 0), (-7, -1), (1, 30), (5, 5), (-500, 500)):
+        found = {(r.g, r.t): (r.s, r.m, r.n) for r in over_range(df, "g", "t", low, high, extremes, 20).collect()}
+        for g, t, _ in rows:
+            assert found[g, t] == told([v for h, u, v in rows if h == g and t + low <= u <= t + high], 0)[:3], (g, t, low, high)
+
+
+def test_no_window_holds_an_oversized_player_of_instants(spark, limit):
+    """What is left after the stored totals of pieces runs inside of pieces."""
+    limit(50)
+    heavy = split_features(dense(spark), ["training_load", "match_days", "speed"], grain="timestamp").heavy
+    windows = re.findall(r"windowspecdefinition\(([^)]*?) (?:ASC|DESC)", heavy._jdf.queryExecution().optimizedPlan().toString())
+    assert windows and all("_piece" in w for w in windows), windows
