@@ -69,21 +69,28 @@ def insight_rows(features: Split, as_of: Column | None = None, all_sessions: boo
     )
 
 
+def by_day(table: DataFrame, day: str, columns: list[str], name: str) -> DataFrame:
+    """One row per player: a map from the day before a match (at most seven) to the columns."""
+    entries = F.collect_list(F.struct(F.col(day).cast("int"), F.struct(*columns)))
+    return table.groupBy("player").agg(F.map_from_entries(entries).alias(name))
+
+
 def add_zones(rows: Split, training_zones: DataFrame, match_zones: DataFrame) -> Split:
-    """Targets of the day before a match, and whether zones exist for the session's type."""
-    targets = training_zones.select(
-        "player",
-        "md",
-        F.lit("training").alias("session_type"),
-        *[c for c in training_zones.columns if c.endswith(("_lo", "_hi"))],
-    )
+    """Targets of the day before a match, and whether zones exist for the session's type.
+
+    One row per player is joined, so sessions stay in the exchange that made their features.
+    """
+    columns = [c for c in training_zones.columns if c.endswith(("_lo", "_hi"))]
     known = (
         training_zones.select("player", F.lit(True).alias("t"), F.lit(False).alias("m"))
         .union(match_zones.select("player", F.lit(False), F.lit(True)))
         .groupBy("player")
         .agg(F.max("t").alias("has_training_zones"), F.max("m").alias("has_match_zones"))
     )
-    rows = lookup(lookup(rows, known, ["player"]), targets, ["player", "session_type", "md"])
+    known = known.join(by_day(training_zones, "md", columns, "_targets"), "player", "left")
+    day = F.when(F.col("session_type") == "training", F.col("md").cast("int"))
+    targets = {c: F.col("_targets")[day][c] for c in columns}
+    rows = lookup(rows, known, ["player"]).each(lambda df: df.withColumns(targets).drop("_targets"))
     return rows.each(lambda df: df.withColumns(load_status()))
 
 
@@ -128,17 +135,19 @@ def add_taper(rows: Split, taper: DataFrame, needs_model: bool = False) -> Split
 
     ``needs_model`` withholds it where the session has no fatigue model.
     """
+    columns = ["load_target", "high_intensity_target", "duration_target", "taper_confidence"]
     plan = taper.select(
         "player",
-        F.col("md").alias("taper_md"),
+        "md",
         F.col("load_percentage").alias("load_target"),
         F.col("high_intensity").alias("high_intensity_target"),
         F.col("recommended_duration").alias("duration_target"),
         F.least(F.lit(FULL_CONFIDENCE), F.col("sample_count") * CONFIDENCE_PER_SAMPLE).alias("taper_confidence"),
     )
     day = F.when(F.col("model_type").isNotNull(), F.col("md")) if needs_model else F.col("md")
-    rows = lookup(rows.each(lambda df: df.withColumn("taper_md", day)), plan, ["player", "taper_md"])
-    return rows.each(lambda df: df.drop("taper_md").withColumns(today_comparison()))
+    advice = {c: F.col("_plan")[day.cast("int")][c] for c in columns}
+    rows = lookup(rows, by_day(plan, "md", columns, "_plan"), ["player"])
+    return rows.each(lambda df: df.withColumns(advice).drop("_plan").withColumns(today_comparison()))
 
 
 def today_comparison() -> dict[str, Column]:

@@ -15,7 +15,7 @@ from taperline.operators import metrics, pairs, taper, zones
 from taperline.operators.hotspots import MAX_GROUP_ROWS, Split, shared_folder, stored
 from taperline.operators.quantiles import grouped_quantiles
 from taperline.plans import dashboard, insights
-from taperline.plans.analytics import LoadAnalytics
+from taperline.plans.analytics import UNREAD, LoadAnalytics
 from taperline.schema import EXPORT_COLUMNS, PERFORMANCE_METRICS, SESSION_TYPES, TRAINING_FEATURES
 from taperline.sources import ingest
 from taperline.sources.bindings import DENSE_PLAYER, event_sessions, sessions, sparse_sessions
@@ -419,6 +419,12 @@ def key_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- insights and dashboards without a model --------------------------------------------
 
 
+def _features_once(spark: SparkSession, sf_dir: str, *learned: str) -> Split:
+    """What is learned from and what is reported on, by one pass over all sessions."""
+    features = C.split_features(sessions(spark, sf_dir), [*learned, "match_days", "means"])
+    return features.each(lambda df: stored(df.drop(*UNREAD)))
+
+
 def _reported(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Split:
     features = C.split_features(sessions(spark, sf_dir), ["match_days", "means"])
     return insights.insight_rows(features, None if all_sessions else as_of(), all_sessions)
@@ -430,13 +436,17 @@ def _zones(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _zoned(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> Split:
-    return insights.add_zones(_reported(spark, sf_dir, all_sessions), *_zones(spark, sf_dir))
+    features = _features_once(spark, sf_dir, "training_load", "good_matches")
+    ranges = stored(zones.zone_ranges(features))
+    rows = insights.insight_rows(features, None if all_sessions else as_of(), all_sessions)
+    return insights.add_zones(rows, zones.training_zones(ranges), zones.match_zones(ranges))
 
 
 def _tapered(spark: SparkSession, sf_dir: str, all_sessions: bool = False) -> DataFrame:
-    table = sessions(spark, sf_dir)
-    plan = stored(taper.taper_plan(taper.taper_features(table)))
-    return insights.add_taper(_reported(spark, sf_dir, all_sessions), plan).union()
+    features = _features_once(spark, sf_dir, "taper_matches")
+    plan = stored(taper.taper_plan(features))
+    rows = insights.insight_rows(features, None if all_sessions else as_of(), all_sessions)
+    return insights.add_taper(rows, plan).union()
 
 
 def insight_header(spark: SparkSession, sf_dir: str) -> DataFrame:
