@@ -21,11 +21,12 @@ from taperline.functions.expressions import (
     session_type,
 )
 from taperline.operators.heavy import heavy_features
-from taperline.operators.hotspots import Split, split_players
+from taperline.operators.hotspots import Split, split_players, stored
 from taperline.operators.rules import (
     ACUTE_DAYS,
     BASELINE_PROB,
     CHRONIC_DAYS,
+    CHRONIC_ROWS,
     DROP_BELOW,
     MIN_SESSIONS,
     PRE_MATCH_DAYS,
@@ -241,6 +242,52 @@ def by_session_type(features: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def latest_features(sessions: DataFrame, as_of: Column | None = None, min_sessions: int = MIN_SESSIONS) -> DataFrame:
+    """The last session of every player with its loads, match days and the player's mean load.
+
+    The same rows as ``latest_session`` of the whole feature table, but only the end of a player's history
+    goes through the windows: its last 28 sessions, and 28 days up to its last training. All else follows
+    from one aggregation with a row per player, in which matches are a set of days.
+    """
+    rows = tidy_sessions(sessions)
+    upto = F.lit(True) if as_of is None else F.col("session_date") <= as_of
+    is_match = F.col("session_type") == "match"
+    key = F.struct("t", *TIE_BREAK)
+    players = rows.groupBy("player").agg(
+        F.count(F.lit(1)).alias("_sessions"),
+        F.avg(F.when(~is_match, F.col("player_load"))).alias("_mean_load"),
+        F.count_if(~is_match).alias("_trainings"),
+        F.max(F.when(upto, key)).alias("_last"),
+        F.max(F.when(upto & ~is_match, F.col("t"))).alias("_last_training"),
+        F.collect_set(F.when(is_match, F.col("t"))).alias("_match_days"),
+    )
+    players = players.filter((F.col("_sessions") >= min_sessions) & F.col("_last").isNotNull())
+    # Ranking keeps 28 rows per player and task before the shuffle.
+    newest = W.partitionBy("player").orderBy(F.desc("t"), *[F.desc(k) for k in TIE_BREAK])
+    ranked = rows.filter(upto).select("player", "t", *TIE_BREAK).withColumn("_rank", F.row_number().over(newest))
+    cuts = ranked.filter(F.col("_rank") <= CHRONIC_ROWS).groupBy("player").agg(F.min(key).alias("_from"))
+    players = stored(players.join(cuts, "player"))
+    ends = sessions.select("*", F.unix_date("session_date").cast("bigint").alias("t")).join(
+        players.select("player", "_from", "_last", "_last_training"), "player"
+    )
+    near = (key >= F.col("_from")) | (F.col("t") > F.col("_last_training") - CHRONIC_DAYS)
+    tail = ends.filter((key <= F.col("_last")) & near).select(*sessions.columns)
+    groups = ["training_load", "row_load"]
+    found = split_features(tail, groups, min_sessions=0).union().join(players.drop("_from", "_sessions"), "player")
+    last_t = F.col("_last.t")
+    found = found.filter(key == F.col("_last")).withColumns(
+        {
+            "mean_load": F.col("_mean_load"),
+            "prev_match": F.array_max(F.filter("_match_days", lambda d: d < last_t)),
+            "next_match": F.array_min(F.filter("_match_days", lambda d: d > last_t)),
+            "training_acwr": F.when(
+                F.col("_trainings") > 0, safe_ratio(F.col("training_acute_load"), F.col("training_chronic_load"))
+            ),
+        }
+    )
+    return with_match_days(found, 1).drop(*[c for c in players.columns if c != "player"])
+
+
 def latest_session(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Last session per player, at or before ``as_of`` if given.
 

@@ -13,7 +13,7 @@ from taperline.operators.fatigue import (
     score_sessions,
     train_fatigue,
 )
-from taperline.operators.features import performance_target, split_features
+from taperline.operators.features import latest_features, performance_target, split_features
 from taperline.operators.hotspots import Split, stored
 from taperline.operators.taper import taper_plan
 from taperline.operators.zones import KEY, match_zones, training_zones, zone_players, zone_ranges
@@ -98,8 +98,9 @@ class LoadAnalytics:
         self._need_training()
         if sessions.isEmpty():
             raise ValueError("There are no sessions to report on")
-        features = split_features(sessions, PREDICT_GROUPS)
-        rows = insights.insight_rows(features, as_of, all_sessions)
+        # One session per player needs only the end of each history.
+        features = split_features(sessions, PREDICT_GROUPS) if all_sessions else Split(latest_features(sessions, as_of))
+        rows = insights.report_columns(features)
         if self.fatigue.models is not None:
             rows = self._add_fatigue(rows)
         elif taper_needs_model:

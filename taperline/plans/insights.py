@@ -56,7 +56,11 @@ def insight_rows(features: Split, as_of: Column | None = None, all_sessions: boo
     ahead to a match applies. ``as_of`` takes the last session up to a date while the
     next match still comes from the whole calendar; ``all_sessions`` reports on every one.
     """
-    rows = features if all_sessions else Split(latest_session(features.union(), as_of))
+    return report_columns(features if all_sessions else Split(latest_session(features.union(), as_of)))
+
+
+def report_columns(rows: Split) -> Split:
+    """The date as text, and the next match if it is near."""
     ahead = F.col("days_until_match")
     return rows.each(
         lambda df: df.withColumns(

@@ -5,10 +5,12 @@ from helpers import column, make_sessions
 from pyspark.sql import functions as F
 
 from taperline.functions import expressions as E
-from taperline.operators.features import GROUPS, build_features, by_session_type, latest_session, performance_target
+from taperline.operators.features import GROUPS, build_features, by_session_type, latest_features, latest_session, performance_target
 from taperline.sources import bindings
 
 SF = "/root/testdata/sf0.001"
+# What both the view and hand-made sessions have.
+SESSION_COLUMNS = ["player", "session_date", "k1", "k2", "k3", "tags", "position", "player_load", "distance_per_min", "duration", "top_speed", "dist_speed_z4", "dist_speed_z5", "accel_3_4", "accel_gt4", "decel_3_4", "decel_gt4", "impact_10_15", "impact_15_20", "impact_gt20", *[f"dist_power_{z}" for z in ("25_30", "30_35", "35_40", "40_45", "45_50", "gt50")]]
 
 
 def test_rolling_load_stops_at_the_row_on_shared_dates(spark):
@@ -143,3 +145,30 @@ def test_regular_features_need_one_exchange_by_player(spark):
     plan = build_features(bindings.sessions(spark, SF), everything)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(player" in line]
     assert len(exchanges) == 1, exchanges
+
+
+@pytest.mark.parametrize("rows", [10**9, 30])
+@pytest.mark.parametrize("as_of", [None, "1995-06-01", "1998-07-01", "1990-01-01"])
+def test_the_end_of_a_history_gives_the_last_session(spark, as_of, rows):
+    """With matches only, training only, crowded days and players that begin after the date."""
+    table = bindings.sessions(spark, "/root/testdata/sf0.001").select(*SESSION_COLUMNS)
+    crowd = make_sessions(spark, [
+        {"player": p, "date": f"1995-0{1 + i % 7}-{1 + i % 3:02d}", "tags": tag if i % 5 else "gym" if p != "M" else tag, "player_load": None if i % 4 == 0 else float(i), "k1": i}
+        for p, tag in (("M", "match"), ("T", "gym"), ("B", "match")) for i in range(60)
+    ]).select(*SESSION_COLUMNS)
+    table = table.unionByName(crowd)
+    when = None if as_of is None else F.lit(as_of).cast("date")
+    groups = ["training_load", "row_load", "match_days", "means"]
+    want = latest_session(build_features(table, groups), when)
+    spark.conf.set("spark.taperline.maxGroupRows", str(rows))
+    try:
+        found = latest_features(table, when).select(*want.columns)
+        a, b = (df.toPandas().sort_values("player").reset_index(drop=True) for df in (want, found))
+    finally:
+        spark.conf.unset("spark.taperline.maxGroupRows")
+    assert len(a) == len(b) and (len(a) > 5 or as_of == "1990-01-01")
+    for c in want.columns:
+        if a[c].dtype.kind == "f":
+            np.testing.assert_allclose(a[c].astype(float), b[c].astype(float), rtol=1e-9, err_msg=c)
+        else:
+            assert a[c].astype(str).tolist() == b[c].astype(str).tolist(), c
