@@ -6,9 +6,17 @@ neighbouring text nodes, fused into one score, and the nodes whose score reaches
 spread are content nodes. The answer is the text of all containers that hold content nodes themselves, and
 of the smallest one around most of their weight (an article or main element at most), so that no content
 node is lost and short paragraphs between long ones stay.
-Parts that are never content (menus, forms, adverts, ...) have no weight and are left out.
 
-Null or empty html, or a page without content, gives an empty text. Nothing is cut, however long.
+Elements that HTML itself sets apart (nav, footer, script, ...) are left out, and so are those whose class,
+id and role tell of nothing but such a part (comments, ad-slot), and forms without
+headings and paragraphs. Other forms, and elements whose names tell of it
+among other things (search-result), are in doubt: their scores count a tenth, and one goes only if less than
+half of its words still belong to content nodes. There is no doubt about elements around an article or main
+element, nor, on a page without these, about one with most of the words where next to nothing would be left
+without it.
+
+Null or empty html, or a page without content, gives an empty text. Nothing is cut, however long. Time and
+memory grow with the page, not with the depth of its tags; end tags without a start are passed over.
 Repeated rows are extracted one by one; null page_id and url stay null; other columns are ignored.
 """
 
@@ -16,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,17 +54,23 @@ CLOSES = {
 SCOPES = frozenset("html body article aside div footer form header main nav section table ul ol dl td th blockquote".split())
 CONTAINERS = frozenset("html body div section td tr tbody table center blockquote".split())
 ROOTS = frozenset(["article", "main"])
-#: Elements and names of classes, ids and roles that hold no content.
+#: Elements that hold no content, and names of classes, ids and roles that often do not.
 NO_CONTENT = frozenset(
-    "head nav footer aside form script style noscript template iframe button select textarea input dialog menu svg math "
+    "head nav footer aside script style noscript template iframe button select textarea input dialog menu svg math "
     "canvas object title xmp".split()
 )
-NO_CONTENT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|modal|popup|overlay|"
+DOUBTED_TAGS = frozenset(["form"])
+WRITTEN = frozenset("p h1 h2 h3 h4 h5 h6".split())
+DOUBTED_NAMES = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|modal|popup|overlay|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|footer|foot|masthead|topbar|toolbar|widget|"
     r"comments?|replies|reply|disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|"
-    r"login|search|pagination|pager|skip)(?=$|[\s_-])"
+    r"login|search|pagination|pager|skip"
 )
+#: Names that begin like this tell of a part elsewhere: no-sidebar, has-sidebar, with-nav.
+ABOUT_OTHERS = frozenset("no not has have with without".split())
+#: Parts of names that say nothing of the content.
+PLAIN_PARTS = frozenset("area block body box button col column container content inner left link links list main outer right row section slot top wrap wrapper".split())
 TAG = r"(/?)([a-zA-Z][^\s/<>]*)"
 #: A comment, a declaration, a tag (with quotes in order, else up to its end), text, or a sign that opens nothing.
 TOKEN = re.compile(
@@ -69,36 +84,70 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¡¿«»„“”]")
 SMOOTHING = 1.0
 THRESHOLD = 0.3
 CONTAINER_SHARE = 0.75
+#: What the score of a doubted part counts, and the share of words outside of doubted parts that is next to nothing.
+DOUBT = 0.1
+NEXT_TO_NOTHING = 0.1
 
 
-class Element:
-    __slots__ = ("tag", "path", "parent", "silent", "weight")
+class Page:
+    """Elements in page order, so that parents come before children, and the text nodes outside of silent ones."""
 
-    def __init__(self, tag: str, parent: Element | None, silent: bool):
-        self.tag, self.parent, self.silent, self.weight = tag, parent, silent, 0.0
-        self.path = f"{parent.path}/{tag}" if parent else tag
+    def __init__(self) -> None:
+        self.tag, self.parent, self.path = [""], [-1], [0]
+        self.silent, self.rooted, self.doubted = [False], [False], [0]
+        self.paths: dict[tuple[int, str], int] = {}
+        #: (element, decoded text, block); nodes of one block are one line.
+        self.nodes: list[tuple[int, str, int]] = []
 
+    def add(self, tag: str, parent: int, attributes: str) -> int:
+        rooted = self.rooted[parent] or tag in ROOTS
+        # A header of an article belongs to it.
+        silent = self.silent[parent] or tag in NO_CONTENT or (tag == "header" and not rooted)
+        named = name_doubt(attributes) if attributes and tag not in ROOTS and tag not in ("html", "body") else 0
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.path.append(self.paths.setdefault((self.path[parent], tag), len(self.paths) + 1))
+        self.silent.append(silent)
+        self.rooted.append(rooted)
+        self.doubted.append(max(named, int(tag in DOUBTED_TAGS)))
+        return len(self.tag) - 1
 
-def is_silent(tag: str, attributes: str, parent: Element) -> bool:
-    if parent.silent or tag in NO_CONTENT:
-        return True
-    if tag == "header":  # of the page, not of an article
-        up: Element | None = parent
-        while up:
-            if up.tag in ROOTS:
-                break
-            up = up.parent
-        else:
-            return True
-    if tag in ROOTS or tag == "body" or not attributes:
-        return False
-    return any(NO_CONTENT_NAMES.search((a or b or c).lower()) for a, b, c in NAMES.findall(attributes))
+    def sums(self, values: list[float]) -> list[float]:
+        """Values of elements with those of all elements inside."""
+        out = list(values)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+
+def name_doubt(attributes: str) -> int:
+    """2 if the names of an element tell of nothing but a part without content, 1 if among other things, else 0."""
+    kinds = set()
+    for quoted, single, bare in NAMES.findall(attributes):
+        for name in (quoted or single or bare).lower().split():
+            parts = [p for p in re.split("[-_]+", name) if p]
+            listed = [bool(DOUBTED_NAMES.fullmatch(p)) for p in parts]
+            if not any(listed) or parts[0] in ABOUT_OTHERS:
+                kinds.add(0)
+            else:
+                kinds.add(2 if all(x or p.isdigit() or p in PLAIN_PARTS for x, p in zip(listed, parts)) else 1)
+    return 2 if kinds == {2} else 1 if kinds & {1, 2} else 0
 
 
-def text_nodes(source: str) -> list[tuple[Element, str, int]]:
-    """(element, decoded text, block): the text nodes in page order; nodes of one block are one line."""
-    at = root = Element("", None, False)
-    nodes, block, pos, size = [], 0, 0, len(source)
+def parsed(source: str) -> Page:
+    page = Page()
+    at, block, pos, size = 0, 0, 0, len(source)
+    open_: Counter[str] = Counter()
+
+    def leave(upto: int) -> int:
+        """Close all open elements up to and with this one."""
+        nonlocal at
+        while at != upto:
+            open_[page.tag[at]] -= 1
+            at = page.parent[at]
+        open_[page.tag[at]] -= 1
+        return page.parent[at]
+
     while pos < size:
         token = TOKEN.match(source, pos)
         if token is None:
@@ -106,20 +155,21 @@ def text_nodes(source: str) -> list[tuple[Element, str, int]]:
         pos = token.end()
         ends, name, attributes = token.groups()[:3] if token.group(2) else token.groups()[3:]
         if name is None:
-            if token.group()[0] != "<" or token.group() == "<":
-                nodes.append((at, html.unescape(token.group()), block))
+            if (token.group()[0] != "<" or token.group() == "<") and not page.silent[at]:
+                page.nodes.append((at, html.unescape(token.group()), block))
             continue
         tag = name.lower()
         if tag in BLOCK:
             block += 1
         if ends:
-            up: Element | None = at
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up is not root:
-                at = up.parent or root
+            if open_[tag] > 0:
+                up = at
+                while page.tag[up] != tag:
+                    up = page.parent[up]
+                at = leave(up)
         elif tag == "br":
-            nodes.append((at, " ", block))
+            if not page.silent[at]:
+                page.nodes.append((at, " ", block))
         elif tag in VOID:
             continue
         elif tag in RAW:
@@ -129,21 +179,23 @@ def text_nodes(source: str) -> list[tuple[Element, str, int]]:
             closed = CLOSES.get(tag, frozenset())
             if tag in BLOCK:
                 closed = {*closed, "p"}
-            up = at
-            while up is not root and up.tag not in closed and up.tag not in SCOPES - closed:
-                up = up.parent or root
-            if up is not root and up.tag in closed:
-                at = up.parent or root
+            if any(open_[c] > 0 for c in closed):
+                up = at
+                while up and page.tag[up] not in closed and page.tag[up] not in SCOPES - closed:
+                    up = page.parent[up]
+                if up and page.tag[up] in closed:
+                    at = leave(up)
             if not attributes.rstrip().endswith("/") or tag in BLOCK:
-                at = Element(tag, at, is_silent(tag, attributes, at))
-    return nodes
+                at = page.add(tag, at, attributes)
+                open_[tag] += 1
+    return page
 
 
-def node_scores(nodes: list[tuple[Element, str, int]]) -> np.ndarray:
+def node_scores(page: Page) -> np.ndarray:
     """Smoothed and fused ratios of text and punctuation per tag path, for each node."""
-    lengths = np.array([len("".join(t.split())) for _, t, _ in nodes], dtype=float)
-    marks = np.array([len(PUNCTUATION.findall(t)) for _, t, _ in nodes], dtype=float)
-    _, path = np.unique([e.path for e, _, _ in nodes], return_inverse=True)
+    lengths = np.array([len("".join(t.split())) for _, t, _ in page.nodes], dtype=float)
+    marks = np.array([len(PUNCTUATION.findall(t)) for _, t, _ in page.nodes], dtype=float)
+    _, path = np.unique([page.path[e] for e, _, _ in page.nodes], return_inverse=True)
     full = np.bincount(path, lengths > 0)
     text_ratio = (np.bincount(path, lengths) / np.maximum(full, 1))[path]
     mark_ratio = (np.bincount(path, marks) / np.maximum(full, 1))[path]
@@ -156,51 +208,84 @@ def node_scores(nodes: list[tuple[Element, str, int]]) -> np.ndarray:
     return smooth(text_ratio) * (1 + smooth(mark_ratio)) * (lengths > 0)
 
 
+def without_named_parts(page: Page) -> None:
+    """Leave out what lies in parts named as such; none of them is around an article or main element."""
+    inside = page.sums([1.0 if t in ROOTS else 0.0 for t in page.tag])
+    page.doubted = [0 if r else d for d, r in zip(page.doubted, inside)]
+    # A form without headings and paragraphs is nothing but a form.
+    written = page.sums([1.0 if t in WRITTEN else 0.0 for t in page.tag])
+    gone = [d == 2 or (t in DOUBTED_TAGS and not (r or w)) for d, t, r, w in zip(page.doubted, page.tag, inside, written)]
+    for e in range(1, len(gone)):
+        gone[e] = gone[e] or gone[page.parent[e]]
+    page.nodes = [node for node in page.nodes if not gone[node[0]]]
+
+
+def doubted_parts(page: Page, words: list[float]) -> list[int]:
+    """For each element the outermost doubted one around it, or -1."""
+    n = len(page.tag)
+    doubted = [d == 1 for d in page.doubted]
+    weight = page.sums(words)
+    total = weight[0]
+    # Words of doubted parts inside an element, and of the element if it is one.
+    within, covered = [0.0] * n, [0.0] * n
+    for e in range(n - 1, -1, -1):
+        covered[e] = weight[e] if doubted[e] else within[e]
+        if e:
+            within[page.parent[e]] += covered[e]
+    certain = total - covered[0]
+    declared = any(t in ROOTS and w > 0 for t, w in zip(page.tag, weight))
+    # Elements with most of the words lie inside of each other.
+    for e in range(n):
+        if declared or certain >= NEXT_TO_NOTHING * total:
+            break
+        if doubted[e] and weight[e] > total / 2:
+            certain += weight[e] - within[e]
+            doubted[e] = False
+    outer = [-1] * n
+    for e in range(1, n):
+        up = outer[page.parent[e]]
+        outer[e] = up if up >= 0 else e if doubted[e] else -1
+    return outer
+
+
 def main_text(source: str | None) -> str:
-    nodes = [n for n in text_nodes(source or "") if not n[0].silent]
-    if not any(t.strip() for _, t, _ in nodes):
+    page = parsed(source or "")
+    without_named_parts(page)
+    if not any(t.strip() for _, t, _ in page.nodes):
         return ""
-    scores = node_scores(nodes)
-    content = scores >= THRESHOLD * scores[scores > 0].mean()
-    total = 0.0
-    children: dict[int, dict[int, Element]] = {}
-    for (element, text, _), chosen in zip(nodes, content, strict=True):
-        weight = float(len(text.split())) if chosen else 0.0
-        total += weight
-        up: Element | None = element
-        while up is not None:
-            up.weight += weight
-            if up.parent is not None:
-                children.setdefault(id(up.parent), {})[id(up)] = up
-            up = up.parent
-    root = nodes[0][0]
-    while root.parent is not None:
-        root = root.parent
-    while root.tag not in ROOTS:
-        best = max(children.get(id(root), {}).values(), key=lambda e: e.weight, default=None)
-        if best is None or best.tag not in CONTAINERS | ROOTS or best.weight < CONTAINER_SHARE * total:
+    n, elements = len(page.tag), np.array([e for e, _, _ in page.nodes])
+    words = np.array([len(t.split()) for _, t, _ in page.nodes], dtype=float)
+    outer = np.array(doubted_parts(page, np.bincount(elements, words, n).tolist()))[elements]
+    scores = node_scores(page)
+    certain = (outer < 0) & (scores > 0)
+    usual = scores[scores > 0].mean()
+    bar = THRESHOLD * (scores[certain].mean() if certain.any() else usual)
+    content = np.where(outer < 0, scores >= bar, DOUBT * scores >= THRESHOLD * usual)
+    # A doubted part stays or goes as a whole.
+    part = np.maximum(outer, 0)
+    stays = 2 * np.bincount(part, words * content, n) >= np.bincount(part, words, n)
+    seen = (outer < 0) | stays[part]
+    content &= seen
+    weight = page.sums(np.bincount(elements, words * content, n).tolist())
+    children: list[int] = [-1] * n  # the one with the most weight
+    for e in range(1, n):
+        heaviest = children[page.parent[e]]
+        if heaviest < 0 or weight[e] > weight[heaviest]:
+            children[page.parent[e]] = e
+    root = 0
+    while page.tag[root] not in ROOTS:
+        best = children[root]
+        if best < 0 or page.tag[best] not in CONTAINERS | ROOTS or weight[best] < CONTAINER_SHARE * weight[0]:
             break
         root = best
-
-    def within(element: Element | None) -> bool:
-        while element is not None:
-            if element is root:
-                return True
-            element = element.parent
-        return False
-
-    def holder(element: Element) -> Element:
-        while element.parent is not None and element.tag not in CONTAINERS | ROOTS:
-            element = element.parent
-        return element
-
-    holders = {id(holder(element)) for (element, _, _), chosen in zip(nodes, content, strict=True) if chosen}
-    inside: dict[int, bool] = {}
+    inside, holder = [root == 0] * n, [0] * n
+    for e in range(1, n):
+        inside[e] = e == root or inside[page.parent[e]]
+        holder[e] = e if page.tag[e] in CONTAINERS | ROOTS else holder[page.parent[e]]
+    holders = {holder[e] for (e, _, _), chosen in zip(page.nodes, content) if chosen}
     blocks: dict[int, list[str]] = {}
-    for element, text, block in nodes:
-        if id(element) not in inside:
-            inside[id(element)] = within(element) or id(holder(element)) in holders
-        if inside[id(element)]:
+    for (e, text, block), shown in zip(page.nodes, seen):
+        if shown and (inside[e] or holder[e] in holders):
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)

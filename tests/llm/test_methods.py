@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -220,6 +221,48 @@ def test_broken_pages():
         html_text.main_text(source)
 
 
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-sidebar", "entry with-nav", "related-work", "search-result", "alert-system"])
+def test_names_alone_silence_no_page(name):
+    part = "<p>The first of them, all in all, said this much; and so on, it went.</p>"
+    menu, comments = "<div class=nav>Home About</div>", f"<div class='comments-area'>{part.replace('first', 'last')}</div>"
+    lines = [part[3:-4]] * 5
+    assert html_text.main_text(f"<body>{menu}<div class='{name}'>{part * 5}</div>{comments}</body>").split("\n") == lines
+    wrapped = f"<div id=page class='site {name}'><article>{part * 5}</article><div class=sidebar>Buy this, now.</div>{comments}</div>"
+    assert html_text.main_text(f"<body>{menu}{wrapped}</body>").split("\n") == lines
+    short = f"<div class=ad>{part * 3}</div><article><h1>Head</h1></article>"
+    assert html_text.main_text(f"<body>{short}</body>") == "Head"
+    assert html_text.main_text(f"<body><form id=whole><div>{part * 5}</div></form></body>").split("\n") == lines
+
+
+def test_long_discussions_below_a_short_article_go():
+    part = "<p>The first of them, all in all, said this much; and so on, it went.</p>"
+    page = f"<body><div class=post>{part}</div><section id=comments>{part.replace('first', 'last') * 5}</section></body>"
+    assert html_text.main_text(page) == part[3:-4]
+
+
+@pytest.mark.parametrize("source", ["<b>" * 100_000 + "</i>" * 100_000, "<div>" * 100_000 + "x", "<p>" + "<b>" * 50_000 + "<div>" * 50_000 + "x", "<div class=sidebar>" * 30_000 + "x, y" * 9])
+def test_nested_tags_take_time_in_proportion(source):
+    start = time.process_time()
+    html_text.main_text(source)
+    assert time.process_time() - start < 5
+
+
+def test_scores_equal_plain_ratios():
+    page = html_text.parsed("<div><p>One, two.</p><p>Three</p><ul><li>a</li><li>b, c; d</li></ul> tail </div>")
+    seen = [(page.path[e], len("".join(t.split())), sum(c in ",.;" for c in t)) for e, t, _ in page.nodes]
+
+    def ratio(i, k):
+        own = [s for s in seen if s[0] == seen[i][0]]
+        return sum(s[k] for s in own) / max(1, sum(s[1] > 0 for s in own))
+
+    def smooth(i, k):
+        weights = {d: math.exp(-0.5 * d * d) for d in range(-2, 3)}
+        return sum(w * ratio(min(max(i + d, 0), len(seen) - 1), k) for d, w in weights.items()) / sum(weights.values())
+
+    want = [smooth(i, 1) * (1 + smooth(i, 2)) if seen[i][1] else 0.0 for i in range(len(seen))]
+    assert html_text.node_scores(page).tolist() == pytest.approx(want)
+
+
 def test_content_beside_the_largest_container_stays():
     part = "<p>The first of them, all in all, said this much; and so on, it went.</p>"
     long, short = part.replace("first", "long") * 8, part * 2
