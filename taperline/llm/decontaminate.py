@@ -9,7 +9,8 @@ longest verbatim matches, and the words of a document inside of any are hit.
 The benchmark is a query set: it is read in blocks of at most ``block_words`` words, each sent to all
 tasks and held against all documents, and the answers of the blocks are merged.
 
-Null or empty texts have no words: no hits, and no windows. Items that share an item_id count once.
+Null or empty texts have no words: no hits, and no windows. Items that share an item_id count once; those
+without one count as one item, which is not the one with an empty id and adds nothing to the digest of ids.
 Documents with a null doc_id or repeated rows are judged one by one. Texts are whole, however long; a very
 long one makes a larger shard. Without documents or benchmark items the result has no rows or no hits.
 """
@@ -34,23 +35,28 @@ BLOCK_WORDS = 2_000_000
 SHARE = 20
 
 
+def in_order(ids: set[str | None]) -> list[str | None]:
+    """Ids as strings, null last."""
+    return sorted(ids, key=lambda i: (i is None, i or ""))
+
+
 @dataclass
 class Windows:
     """Different windows of some benchmark items; window i belongs to items[owner[first[i]:first[i + 1]]]."""
 
     words: list[np.ndarray] = field(default_factory=list)
-    owners: list[list[str]] = field(default_factory=list)
+    owners: list[list[str | None]] = field(default_factory=list)
 
     @classmethod
-    def of(cls, items: list[tuple[str, str | None]]) -> Windows:
+    def of(cls, items: list[tuple[str | None, str | None]]) -> Windows:
         texts = [(t or "").encode() for _, t in items]
         offsets = np.cumsum([0, *map(len, texts)])
         hashes, first = word_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets, ALPHANUMERIC)
-        known: dict[bytes, set[str]] = {}
+        known: dict[bytes, set[str | None]] = {}
         for (item_id, _), a, b in zip(items, first[:-1], first[1:], strict=True):
             for i in range(a, max(b - WINDOW, a) + 1) if b > a else ():
                 known.setdefault(hashes[i : min(i + WINDOW, b)].tobytes(), set()).add(item_id)
-        return cls([np.frombuffer(w, dtype=np.uint64) for w in known], [sorted(o) for o in known.values()])
+        return cls([np.frombuffer(w, dtype=np.uint64) for w in known], [in_order(o) for o in known.values()])
 
 
 def suffix_array(tokens: np.ndarray) -> np.ndarray:
@@ -134,11 +140,11 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def shard_answers(hashes: np.ndarray, first: np.ndarray, windows: Windows) -> tuple[list[list[dict]], list[list[str]]]:
+def shard_answers(hashes: np.ndarray, first: np.ndarray, windows: Windows) -> tuple[list[list[dict]], list[list[str | None]]]:
     """For each text the longest hit spans in words and the items found."""
     texts = len(first) - 1
     spans: list[list[dict]] = [[] for _ in range(texts)]
-    items: list[list[str]] = [[] for _ in range(texts)]
+    items: list[list[str | None]] = [[] for _ in range(texts)]
     window, place = occurrences(hashes, first, windows)
     if not len(window):
         return spans, items
@@ -152,11 +158,11 @@ def shard_answers(hashes: np.ndarray, first: np.ndarray, windows: Windows) -> tu
         t = int(np.searchsorted(first + np.arange(texts + 1), a, side="right") - 1)
         base = int(first[t]) + t
         spans[t].append({"start": int(a) - base, "stop": int(b) - base})
-    found: dict[int, set[str]] = {}
+    found: dict[int, set[str | None]] = {}
     for t, w in np.unique(np.stack((text, window), axis=1), axis=0):
         found.setdefault(int(t), set()).update(windows.owners[w])
     for t, names in found.items():
-        items[t] = sorted(names)
+        items[t] = in_order(names)
     return spans, items
 
 
@@ -194,11 +200,11 @@ def scan_documents(documents: DataFrame, windows: Windows) -> DataFrame:
     return documents.select(*text_identity(), "text").mapInArrow(run, schema)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, str | None]]]:
+def benchmark_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The items in bounded blocks; the driver holds one at a time."""
     block, size = [], 0
     for item_id, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        block.append((item_id if item_id is not None else "", text))
+        block.append((item_id, text))
         size += 1 + len(text or "") // 4
         if size >= block_words:
             yield block
