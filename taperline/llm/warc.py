@@ -8,7 +8,9 @@ is hashed again, and one that no longer fits its address stops the job.
 Of records with equal payloads of at least ``min_bytes`` the one with the largest page_id is the
 response and the others are revisits of it; of rows that also share the page_id, one is the response.
 Null html is an empty payload. A null page_id counts as smaller than any other, and refers_to is null
-where the response has none. A null url is an empty one; line breaks in it are percent-encoded.
+where the response has none. Ids of any type come back as that type; line breaks and percent signs of ids
+that are text are percent-encoded inside the record. A null url is an empty one; carriage returns and line
+feeds in it are percent-encoded, all other characters stay, as only CRLF ends a header line.
 An empty table gives an empty archive. Other columns of the input are not archived.
 """
 
@@ -31,6 +33,7 @@ BASE32_RFC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 class Archive:
     payloads: DataFrame  # digest, payload
     headers: DataFrame  # header, digest
+    page_type: str = "bigint"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -79,11 +82,27 @@ def write_archive(pages: DataFrame, min_bytes: int = 0) -> Archive:
         F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string")),
     ]
     header = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF))
-    return Archive(payloads, stored(known.select(header.alias("header"), "digest"), "headers"))
+    page_type = pages.schema["page_id"].dataType.simpleString()
+    return Archive(payloads, stored(known.select(header.alias("header"), "digest"), "headers"), page_type)
+
+
+#: What an id may not hold inside of a header line, and how it is written there; the percent sign comes first.
+ESCAPES = (("%", "%25"), ("\r", "%0D"), ("\n", "%0A"), (">", "%3E"))
 
 
 def record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
+    text = page_id.cast("string")
+    for plain, written in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return F.coalesce(F.concat(F.lit("<urn:page:"), text, F.lit(">")), F.lit("<urn:page>"))
+
+
+def page_of(record: Column, page_type: str) -> Column:
+    """The id in a record id; null where it has none."""
+    text = F.when(record.startswith("<urn:page:"), F.substring(record, F.lit(11), F.length(record) - 11))
+    for plain, written in reversed(ESCAPES):
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return text.cast(page_type)
 
 
 def verified(payloads: DataFrame) -> DataFrame:
@@ -107,18 +126,18 @@ def read_records(archive: Archive) -> DataFrame:
     return whole.select(record(F.col("payload")).alias("record"), "digest").unionByName(empty)
 
 
-def parse_records(records: DataFrame) -> DataFrame:
+def parse_records(records: DataFrame, page_type: str = "bigint") -> DataFrame:
     """Header fields and block of WARC records given as bytes."""
     # Latin-1 keeps one character per byte, so positions of characters are those of bytes.
     at = F.locate(CRLF * 2, F.decode("record", "ISO-8859-1"))
     header = F.decode(F.substring(F.col("record"), F.lit(1), at + 1), "UTF-8")
 
     def field(name: str) -> Column:
-        found = F.regexp_extract("header", f"(?m)^{name}: ([^\r\n]*)", 1)
-        return F.when(F.col("header").rlike(f"(?m)^{name}: "), found)
+        found = F.filter(F.split("header", CRLF), lambda line: line.startswith(f"{name}: "))
+        return F.substring(F.try_element_at(found, F.lit(1)), len(name) + 3, 1 << 30)
 
     def page(name: str) -> Column:
-        return F.regexp_extract(field(name), "<urn:page:(-?[0-9]*)>", 1).try_cast("long")
+        return page_of(field(name), page_type)
 
     block = F.substring(F.col("record"), F.col("at") + 4, field("Content-Length").cast("int"))
     return records.select("digest", "record", at.alias("at"), header.alias("header")).select(
@@ -135,7 +154,7 @@ def parse_records(records: DataFrame) -> DataFrame:
 def revisit_digest(archive: Archive) -> DataFrame:
     """One row per record of the archive, as read back: sizes and digests are those of the stored bytes."""
     # The sizes and digests of revisits are those of the payload that their response holds.
-    records = parse_records(read_records(archive))
+    records = parse_records(read_records(archive), archive.page_type)
     held = verified(archive.payloads).select(
         "digest", F.octet_length("payload").cast("long").alias("held_bytes"), base32_sha1(F.col("payload")).alias("held_sha1")
     )

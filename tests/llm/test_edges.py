@@ -1,5 +1,7 @@
 """Empty tables, nulls, repeated rows and odd columns for every operator on documents."""
 
+import hashlib
+
 import pytest
 from text_fixture import DOCUMENTS, frames, with_odd_columns
 
@@ -63,3 +65,30 @@ def test_stages_keep_columns_of_empty_and_odd_documents(spark, tmp_path):
     odd = with_odd_columns(documents)
     for name, stage in pipeline.STAGES[:-1]:
         assert stage(spark, odd, str(tmp_path)).columns == odd.columns, name
+
+
+def test_line_ends_of_other_alphabets_in_urls(spark):
+    kinds = "page_id long, url string, html string"
+    urls = [f"u{sign}Content-Length: 3 {sign}WARC-Refers-To: <urn:page:77>{sign}" for sign in ("\u2028", "\u2029", "\u0085", "\x0b", "\x0c", "\x1e")]
+    archive = warc.write_archive(spark.createDataFrame([(i, u, "<p>é") for i, u in enumerate(urls)], kinds))
+    records = {r["page_id"]: (r["url"], r["record_type"], r["refers_to"], bytes(r["block"])) for r in warc.parse_records(warc.read_records(archive)).collect()}
+    last = len(urls) - 1
+    assert records == {i: (u, "response", None, "<p>é".encode()) if i == last else (u, "revisit", last, b"") for i, u in enumerate(urls)}
+    assert {r["payload_bytes"] for r in warc.revisit_digest(archive).collect()} == {5}
+
+
+def test_page_ids_that_are_text(spark):
+    ids = ["p1", "p2", "", "a%0Ab", "a\nb", "x>y", "\u2028", None]
+    rows = spark.createDataFrame([(i, "u", "same") for i in ids], "page_id string, url string, html string")
+    found = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.revisit_digest(warc.write_archive(rows)).collect()}
+    largest = max(i for i in ids if i is not None)
+    assert found == {i: ("response", None) if i == largest else ("revisit", largest) for i in ids}
+
+
+def test_benchmark_items_without_an_id(spark):
+    documents = spark.createDataFrame([(1, "a b c d", "en", "s", 7)], DOCUMENTS)
+    items = spark.createDataFrame([(None, "a b"), ("", "c d"), (None, "b c"), ("x", "q")], "item_id string, text string")
+    for block in (decontaminate.BLOCK_WORDS, 1):
+        row = decontaminate.match_digest(decontaminate.matches(documents, items, block)).first()
+        assert (row["n_items"], row["n_hit"], row["contaminated"]) == (2, 4, True)
+        assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
