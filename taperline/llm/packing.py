@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +37,8 @@ from taperline.llm.tokens import text_ids
 
 CAPACITY = 4096
 END_ID = 1
-#: Fillings that the search tries in all, and that it lists for one piece.
-SEARCH_NODES = 20_000
-FILLINGS = 16
-#: Lengths that a step of a filling tries where more than FEW lengths are left; else all of them.
-BRANCHES = 3
-FEW = 64
+#: Bins that the search completes in all.
+SEARCH_NODES = 4_000
 
 Pattern = tuple[tuple[int, int], ...]
 Packing = list[tuple[Pattern, int]]
@@ -102,90 +99,194 @@ def best_fit(counts: dict[int, int], capacity: int) -> Packing:
     return [(p, c) for groups in open_.values() for p, c in groups]
 
 
-def fillings(room: int, lengths: list[int], left: dict[int, int], most_waste: int) -> list[Pattern]:
-    """Undominated ways to fill ``room`` from rising ``lengths``, least waste first, up to FILLINGS of them.
+def reachable(room: int, lengths: list[int], left: dict[int, int]) -> list[int]:
+    """For each k the sums up to ``room`` of pieces of the k shortest lengths, as the bits of a number."""
+    inside, sums, out = (1 << (room + 1)) - 1, 1, [1]
+    for length in lengths:
+        # Binary parts of the count: any number of pieces from none to all of them.
+        count, part = min(left[length], room // length), 1
+        while count:
+            part = min(part, count)
+            sums |= (sums << (part * length)) & inside
+            count -= part
+            part *= 2
+        out.append(sums)
+    return out
 
-    Longer pieces are tried first. A filling is dominated if a piece that
-    is left over fits into its gap, alone or in place of a shorter piece.
+
+def fillings(room: int, lengths: list[int], left: dict[int, int], most_waste: int) -> Iterator[tuple[int, Pattern]]:
+    """(waste, pattern) of the undominated ways to fill ``room`` from rising ``lengths``: least waste first, then longest pieces.
+
+    A filling is dominated if a piece that is left over fits into its gap, alone or in place of a shorter one.
+    The reachable sums lead straight to fillings, so none is sought in vain.
     """
-    found: list[tuple[int, Pattern]] = []
-    leaves = 0
-    width = BRANCHES if len(lengths) > FEW else FEW
-
-    def free_between(low: int, high: int, used: dict[int, int]) -> bool:
-        return any(left[x] > used.get(x, 0) for x in lengths[bisect_left(lengths, low) : bisect_right(lengths, high)])
-
-    def grow(gap: int, at: int, chosen: list[tuple[int, int]]) -> None:
-        nonlocal leaves
-        top = bisect_right(lengths, gap, 0, at)
-        if not top:
-            leaves += 1
-            used = dict(chosen)
-            if gap <= most_waste and not free_between(1, gap, used) and not any(free_between(y + 1, y + gap, used) for y in used):
-                found.append((gap, tuple(chosen)))
+    lengths = lengths[: bisect_right(lengths, room)]
+    sums = reachable(room, lengths, left)
+
+    used = dict.fromkeys(lengths, 0)
+
+    def dominated(i: int, waste: int) -> bool:
+        """Whether a piece left over could stand in place of one of the i-th length."""
+        for longer in islice(lengths, i + 1, None):
+            if longer - lengths[i] > waste:
+                return False
+            if left[longer] > used[longer]:
+                return True
+        return False
+
+    def exact(amount: int, k: int, waste: int) -> Iterator[Pattern]:
+        """Undominated patterns of the k shortest lengths that sum to ``amount``."""
+        if not amount:
+            if not any(left[x] > used[x] for x in lengths[: bisect_right(lengths, waste)]):
+                yield ()
             return
-        for i in range(top - 1, max(-1, top - 1 - width), -1):
+        # The longest piece is one that shorter ones complete.
+        for i in range(bisect_right(lengths, amount, 0, k) - 1, -1, -1):
+            if not sums[i + 1] >> amount & 1:
+                return
             length = lengths[i]
-            most = min(left[length], gap // length)
-            for count in {most, 1}:
-                if len(found) >= FILLINGS or leaves >= 4 * FILLINGS:
-                    return
-                grow(gap - count * length, i, [*chosen, (length, count)])
-
-    grow(room, len(lengths), [])
-    return [p for _, p in sorted(found)]
+            if waste and dominated(i, waste):
+                continue
+            for count in range(min(left[length], amount // length), 0, -1):
+                if sums[i] >> (amount - count * length) & 1:
+                    used[length] = count
+                    for rest in exact(amount - count * length, i, waste):
+                        yield ((length, count), *rest)
+            used[length] = 0
+
+    for waste in range(min(room, most_waste) + 1):
+        if sums[-1] >> (room - waste) & 1:
+            for pattern in exact(room - waste, len(lengths), waste):
+                yield waste, pattern
+
+
+def longest_first(left: dict[int, int], capacity: int, bins: int) -> Packing:
+    """Up to ``bins`` bins, each of the longest pieces that fit; they are taken out of ``left``."""
+    out: Packing = []
+    while left and bins:
+        room, pattern = capacity, []
+        for length in sorted(left, reverse=True):
+            count = min(left[length], room // length)
+            if count:
+                pattern.append((length, count))
+                room -= count * length
+        copies = min(bins, *(left[length] // n for length, n in pattern))
+        for length, n in pattern:
+            left[length] -= copies * n
+            if not left[length]:
+                del left[length]
+        out.append((tuple(pattern), copies))
+        bins -= copies
+    return out
 
 
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search_nodes: int = SEARCH_NODES) -> Packing:
-    """As few bins as the search finds; optimal where it reaches the lower bound."""
+    """As few bins as the search finds; optimal where it reaches the lower bound or tries every branch.
+
+    First come single descents that try one filling for each longest piece: the one of least waste
+    throughout, then after some bins of long pieces alone, whose share is sought by halving (long pieces may
+    use up the short ones that others need). What is left of the nodes goes into passes that try one, two,
+    four and so on fillings, with backtracking.
+    """
     best = best_fit(counts, capacity)
     least, size = lower_bound(counts, capacity), sum(c for _, c in best)
+    nodes, width = 0, 1
+    tried: dict[int, int] = {}
+
+    def descend(first: int) -> None:
+        nonlocal best, size, nodes
+        if first in tried or size <= least or nodes >= search_nodes:
+            return
+        left = dict(counts)
+        bins = longest_first(left, capacity, first)
+        opened = sum(c for _, c in bins)
+        found, used, _ = search(left, capacity, 1 + sum(counts.values()), least - opened, 1, search_nodes - nodes)
+        nodes += used
+        tried[first] = opened + sum(c for _, c in found) if found is not None else size
+        if found is not None and tried[first] < size:
+            best, size = [*bins, *found], tried[first]
+
+    descend(0)
+    step = size // 8
+    for first in range(step, size // 2 + 1, max(1, step)):
+        descend(first)
+    while step > 1 and size > least and nodes < search_nodes:
+        step //= 2
+        centre = min(tried, key=lambda k: (tried[k], k))
+        descend(max(0, centre - step))
+        descend(centre + step)
+    while size > least and nodes < search_nodes:
+        found, used, whole = search(counts, capacity, size, least, width, (search_nodes - nodes + 1) // 2)
+        nodes += used
+        if found:
+            best, size = found, sum(c for _, c in found)
+        if whole:
+            break
+        width *= 2
+    return best
+
+
+def search(counts: dict[int, int], capacity: int, size: int, least: int, width: int, most_nodes: int) -> tuple[Packing | None, int, bool]:
+    """(a packing of fewer than ``size`` bins if found, nodes, whether no branch was left out), depth first on one histogram."""
     total = sum(length * n for length, n in counts.items())
-    # Depth first on one histogram: a frame is (fillings to try, waste before, (bin, copies) taken or None).
-    left, nodes = dict(counts), 0
+    left, nodes, whole = dict(counts), 0, True
+    best: Packing | None = None
+    # A frame is (options to try, waste before, (bin, copies) taken or None).
     stack: list[list] = []
 
-    def open_frame(waste: int) -> None:
+    def options(waste: int) -> Iterator[tuple[Pattern, int, int]]:
+        """(bin, copies, waste) around the longest piece that is left."""
+        nonlocal whole
         longest = max(left)
         left[longest] -= 1
         lengths = sorted(x for x, n in left.items() if n)
-        options = fillings(capacity - longest, lengths, left, (size - 1) * capacity - total - waste)
+        room, spare = capacity - longest, (size - 1) * capacity - total - waste
+        tried = list(islice(fillings(room, lengths, left, spare), width + 1))
         left[longest] += 1
-        stack.append([iter(options), waste, None])
-
-    if size > least and counts:
-        open_frame(0)
-    while stack and nodes < search_nodes and size > least:
-        options, waste, taken = stack[-1]
+        whole = whole and len(tried) <= width
+        for gap, filling in tried[:width]:
+            need = dict(filling)
+            need[longest] = need.get(longest, 0) + 1
+            copies = min(left[length] // n for length, n in need.items())
+            copies = min(copies, spare // gap) if gap else copies
+            pattern = tuple(sorted(need.items(), reverse=True))
+            # As often as possible, then fewer times; all numbers of copies would be needed to be sure.
+            fewer = sorted({copies, *(copies >> k for k in range(1, width.bit_length()))} - {0}, reverse=True)
+            whole = whole and len(fewer) == copies
+            for n in fewer:
+                yield pattern, n, gap * n
+
+    if not left:
+        return [], nodes, whole
+    stack.append([options(0), 0, None])
+    alone = width == 1 and size > sum(counts.values())  # any packing will do: the first one is taken
+    while stack and nodes < most_nodes and size > least:
+        branch, waste, taken = stack[-1]
         if taken:  # back from below: put the pieces back
             for length, n in taken[0]:
                 left[length] = left.get(length, 0) + n * taken[1]
             stack[-1][2] = None
-        filling = next(options, None)
-        if filling is None:
+        option = next(branch, None)
+        if option is None:
             stack.pop()
             continue
         nodes += 1
-        need = dict(filling)
-        longest = max(left)
-        need[longest] = need.get(longest, 0) + 1
-        gap = capacity - sum(length * n for length, n in need.items())
-        copies = min(left[length] // n for length, n in need.items())
-        copies = min(copies, ((size - 1) * capacity - total - waste) // gap) if gap else copies
-        if copies < 1:
+        pattern, copies, wasted = option
+        if waste + wasted > (size - 1) * capacity - total:
             continue
-        for length, n in need.items():
+        for length, n in pattern:
             left[length] -= copies * n
             if not left[length]:
                 del left[length]
-        stack[-1][2] = (tuple(sorted(need.items(), reverse=True)), copies)
+        stack[-1][2] = (pattern, copies)
         if left:
-            open_frame(waste + gap * copies)
+            stack.append([options(waste + wasted), waste + wasted, None])
             continue
-        bins = [frame[2] for frame in stack]
-        if (found := sum(c for _, c in bins)) < size:
-            best, size = bins, found
-    return best
+        best = [frame[2] for frame in stack]
+        size = sum(c for _, c in best)
+        if alone:
+            break
+    return best, nodes, whole and not stack
 
 
 def cut_documents(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

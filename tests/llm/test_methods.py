@@ -190,6 +190,38 @@ def test_uniform_sources_lose_nothing_and_outliers_go(spark):
     assert not verdict.pop(5000) and all(verdict.values())
 
 
+@pytest.mark.parametrize("low,high,n,most", [(1100, 1599, 3000, 1010), (1050, 1639, 3000, 1010), (1300, 1449, 1000, 365)])
+def test_many_middle_lengths_are_packed_closely(low, high, n, most):
+    """Taking the longest piece and the best two beside it needs 1,000 sequences for the first two."""
+    rng = random.Random(1)
+    counts = Counter(rng.randint(low, high) for _ in range(n))
+    bins = packing.complete_bins(dict(counts), search_nodes=1500)
+    used = Counter()
+    for pattern, copies in bins:
+        assert sum(length * k for length, k in pattern) <= packing.CAPACITY
+        used.update({length: k * copies for length, k in pattern})
+    assert used == counts and sum(c for _, c in bins) <= most
+
+
+def test_fillings_are_all_undominated_ones_by_waste():
+    rng = random.Random(3)
+    for _ in range(60):
+        left = Counter(rng.randint(1, 20) for _ in range(8))
+        lengths, room = sorted(left), rng.randint(5, 40)
+        ways = [()]
+        for length in lengths:
+            ways = [(*w, (length, k)) for w in ways for k in range(left[length] + 1)]
+        want = []
+        for way in ways:
+            waste = room - sum(x * k for x, k in way)
+            free = {x: left[x] - k for x, k in way}
+            better = any(free[x] and x <= waste for x in free) or any(k and free[y] and x < y <= x + waste for x, k in way for y in free)
+            if waste >= 0 and not better:
+                want.append((waste, tuple(sorted(((x, k) for x, k in way if k), reverse=True))))
+        found = list(packing.fillings(room, lengths, left, room))
+        assert sorted(found) == sorted(want) and [w for w, _ in found] == sorted(w for w, _ in found)
+
+
 # -- HTML ----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
