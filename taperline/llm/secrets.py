@@ -1,8 +1,8 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
 Candidates are runs of at least 12 letters, digits and signs with a digit or with the beginning of a
-usual service's keys, and values of at least 8
-characters assigned to a name such as password. The forest looks at each candidate's length, its
+usual service's keys, values of at least 8 characters assigned to a name such as password, and passwords
+of at least 6 in addresses (scheme://user:password@host). The forest looks at each candidate's length, its
 character transitions (changes of kind, and how usual its letter pairs are in words), how much of it a
 dictionary covers, its path (the document's source and signs of paths or addresses around it) and the
 neighbouring words. It is trained from labelled findings; ``labelled_findings`` derives a documented,
@@ -34,10 +34,13 @@ MASK = "[SECRET]"
 NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 # How keys of usual services begin.
 KNOWN_PREFIX = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk-|sk_live_|rk_live_|AIza|eyJ|npm_|SG\\.|ya29"
+#: What stands before the password of an address.
+ADDRESS_USER = r"://[^\s/:@]{1,64}:"
 CANDIDATE = (
     rf"(?<![A-Za-z0-9_+/\-])(?:{KNOWN_PREFIX})[A-Za-z0-9_+/\-]{{12,}}+={{0,2}}"
     r"|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*+[0-9])[A-Za-z0-9_+/\-]{12,}+={0,2}"
     rf"|(?<=[=:\"'] ?)(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}} {{0,1}}[=:] {{0,1}}[\"']{{0,1}})[^\s\"'<>,;]{{8,}}+"
+    rf"|(?<={ADDRESS_USER})[^\s/@:]{{6,}}+(?=@)"
 )
 
 # Usual words of texts and programs, for coverage and usual letter pairs.
@@ -84,11 +87,16 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
     size = F.greatest(F.length(candidate), F.lit(1)).cast("double")
     lower = F.lower(candidate)
     changes = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
-    scores = F.create_map(*[F.lit(x) for pair in pair_scores().items() for x in pair])
+    scores = F.array(*[F.lit(v) for _, v in sorted(pair_scores().items())])
+    # Characters are read once into an array; neighbours find their score by position.
+    place = F.transform(F.split(lower, ""), lambda c: F.when(c.rlike("^[a-z]"), F.ascii(c) - 97))
+    following = F.slice(place, 2, F.greatest(F.size(place) - 1, F.lit(1)))
     pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(candidate) - 1, F.lit(1))),
-        lambda i: F.coalesce(F.try_element_at(scores, F.substring(lower, i, F.lit(2))), F.lit(-3.0)),
+        F.zip_with(place, following, lambda a, b: a * 26 + b),
+        lambda at: F.coalesce(F.try_element_at(scores, at + 1), F.lit(-3.0)),
     )
+    # The last character has no neighbour.
+    pairs = F.slice(pairs, 1, F.greatest(F.size(place) - 1, F.lit(1)))
     covered = F.length(F.regexp_replace(lower, "|".join(sorted(WORDS, key=lambda w: (-len(w), w))), ""))
 
     def share(pattern: str) -> Column:
@@ -116,6 +124,7 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
         "f_test_path": flag(path, "(?i)test|example|sample|mock|fixture|docs?/"),
         "f_named": flag(before, rf"(?i)({NAMES})[\"']?\s*[=:]?\s*[\"']?$"),
         "f_assigned": flag(before, r"[=:]\s*[\"']?$"),
+        "f_credential": flag(before, rf"{ADDRESS_USER}$"),
         "f_quoted": flag(before, "[\"']$"),
         "f_near_name": flag(F.concat_ws(" ", before, after), rf"(?i)\b({NAMES})\b"),
         "f_near_harmless": flag(before, rf"(?i)\b({HARMLESS})\b[^A-Za-z]*$"),
@@ -157,6 +166,9 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
         (0, F.concat(picks[3], picks[4], cut(number, 1, 3)), F.concat(prose, one_of(" ", " the ", " of ", salt=24))),
         (0, cut(hexes, 12, 40), F.concat(prose, one_of(" https://www.site.com/", " img/", " cache/", " build ", salt=25))),
         (0, F.concat_ws("_", picks[3], picks[4], picks[5]), F.concat(prose, F.lit(" "), names, assign)),
+        (1, F.concat(picks[3], cut(mixed, 4, 16)), F.concat(prose, one_of(" https://", " postgres://", " amqp://", " redis://", salt=28), picks[6], F.lit(":"))),
+        (0, F.concat_ws("-", picks[3], picks[4], cut(number, 1, 6)), F.concat(prose, one_of(" https://www.site.com/", " ftp://", " host:", salt=29))),
+        (0, F.concat(F.lit("20"), *[x for i in (1, 3, 5) for x in (F.substring(number, i, 2), F.lit("-" if i < 5 else "T"))], cut(number, 2, 6)), F.concat(prose, one_of(" ", " at ", ": ", " since ", salt=30))),
     ]
     candidate, before, label = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("double")
     for i, (kind, string, context) in enumerate(kinds):

@@ -3,12 +3,15 @@
 import hashlib
 import math
 import random
+import string
 import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 from text_fixture import DOCUMENTS, corpus, folder, frames, prose, sql_rows
 
 from taperline.llm import components, decontaminate, html_text, licenses, lm, near_dedup, packing, pipeline, quality, repeats, secrets, sql, warc
@@ -27,6 +30,54 @@ def test_forest_on_held_out_findings(spark):
     assert sum(r["label"] == r["prediction"] for r in said) / len(said) > 0.95
 
 
+def test_forest_on_recipes_it_has_not_seen(spark):
+    rng = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    some = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    secret = [
+        lambda: f"client_secret: {some(34)}", lambda: f"Authorization: Bearer {some(40)}", lambda: f"export DB_PASSWORD={some(14)}!",
+        lambda: f"mysql://root:{some(10)}@db.local/x", lambda: f"otp_secret={some(26, string.ascii_uppercase)}", lambda: f"private_key = '{some(64, string.hexdigits)}'",
+    ]
+    harmless = [
+        lambda: f"at 2024-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T10:22:30", lambda: f"merged commit {some(40, '0123456789abcdef')} into main",
+        lambda: f"see report_final_version_{rng.randint(1, 99)}.pdf", lambda: f"call +49-170-{rng.randint(10**6, 10**7)} now",
+        lambda: f"https://cdn.site.org/assets/app-{some(8, '0123456789abcdef')}.js", lambda: f"build libfoo-dev_1.{rng.randint(1, 30)}.2-amd64",
+    ]
+    rows = [(i, prose(rng, 30) + " " + (secret if i % 2 else harmless)[i // 2 % 6]() + " " + prose(rng, 20), "en", "src", 1) for i in range(600)]
+    found = {r["doc_id"]: r["n_findings"] > 0 for r in secrets.secret_findings(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    true, false = (sum(hit for i, hit in found.items() if i % 2 == k) for k in (1, 0))
+    assert true / 300 > 0.95 and true / (true + false) > 0.95, (true, false)
+
+
+def test_candidates_and_letter_pairs_equal_brute_force(spark):
+    rng = random.Random(6)
+    texts = [doc[1] or "" for doc in corpus()[0]] + ["".join(rng.choice("ab1 =:/@\"'_-Z.,é") for _ in range(300)) for _ in range(60)]
+    texts += ['api_key = "abcdefgh" x', "postgres://user:pa55w0rdXy@host/db", "a://b:secret@c", "password:short", "pwd='12345678'", "https://x:y z@w"]
+    pattern = regex.compile(secrets.CANDIDATE)
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCUMENTS)
+    found: dict[int, list] = {}
+    for r in secrets.candidates(rows, [F.col("doc_id")]).orderBy("doc_id", "ordinal").collect():
+        found.setdefault(r["doc_id"], []).extend([r["candidate"]] if r["candidate"] is not None else [])
+    assert found == {i: pattern.findall(t) for i, t in enumerate(texts)}
+    assert found[len(texts) - 5] == ["pa55w0rdXy"]
+    table, strings = secrets.pair_scores(), sorted({c for cs in found.values() for c in cs} | {"", "a", "zz", "Ab-cD"})
+    given = spark.createDataFrame([(c,) for c in strings], "c string")
+    values = given.select("c", secrets.features(F.col("c"), F.lit(""), F.lit(""), F.lit(""))["f_pairs"].alias("v")).collect()
+    for r in values:
+        low = r["c"].lower()
+        want = sum(table.get(low[i : i + 2], -3.0) for i in range(max(1, len(low) - 1))) / max(1, len(low))
+        assert r["v"] == pytest.approx(want), r["c"]
+
+
+def test_a_run_of_a_million_characters(spark):
+    model = secrets.train_forest(secrets.labelled_findings(spark, 480))
+    rng = random.Random(5)
+    text = "token = " + "".join(rng.choices(string.ascii_letters + string.digits, k=1_000_000)) + " end"
+    start = time.time()
+    found = secrets.scan(spark.createDataFrame([(1, text, "en", "s", 1)], DOCUMENTS), model).first()
+    assert found["n_candidates"] == 1 and time.time() - start < 20
+
+
 def test_secrets_are_found_and_masked(spark):
     documents, _ = frames(spark)
     found = {r["doc_id"]: [f["secret"] for f in r["findings"]] for r in secrets.secret_findings(documents).collect() if r["n_findings"]}
