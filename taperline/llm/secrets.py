@@ -40,7 +40,7 @@ CANDIDATE = (
     rf"(?<![A-Za-z0-9_+/\-])(?:{KNOWN_PREFIX})[A-Za-z0-9_+/\-]{{12,}}+={{0,2}}"
     r"|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*+[0-9])[A-Za-z0-9_+/\-]{12,}+={0,2}"
     rf"|(?<=[=:\"'] ?)(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}} {{0,1}}[=:] {{0,1}}[\"']{{0,1}})[^\s\"'<>,;]{{8,}}+"
-    rf"|(?<={ADDRESS_USER})[^\s/@:]{{6,}}+(?=@)"
+    rf"|(?<=:)(?<={ADDRESS_USER})[^\s/@:]{{6,}}+(?=@)"
 )
 
 # Usual words of texts and programs, for coverage and usual letter pairs.
@@ -89,10 +89,10 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
     changes = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
     scores = F.array(*[F.lit(v) for _, v in sorted(pair_scores().items())])
     # Characters are read once into an array; neighbours find their score by position.
-    place = F.transform(F.split(lower, ""), lambda c: F.when(c.rlike("^[a-z]"), F.ascii(c) - 97))
+    place = F.transform(F.split(lower, ""), lambda c: F.ascii(c) - 97)
     following = F.slice(place, 2, F.greatest(F.size(place) - 1, F.lit(1)))
     pairs = F.transform(
-        F.zip_with(place, following, lambda a, b: a * 26 + b),
+        F.zip_with(place, following, lambda a, b: F.when(a.between(0, 25) & b.between(0, 25), a * 26 + b)),
         lambda at: F.coalesce(F.try_element_at(scores, at + 1), F.lit(-3.0)),
     )
     # The last character has no neighbour.
