@@ -154,10 +154,13 @@ def fillings(room: int, lengths: list[int], left: dict[int, int], most_waste: in
                         yield ((length, count), *rest)
             used[length] = 0
 
-    for waste in range(min(room, most_waste) + 1):
-        if sums[-1] >> (room - waste) & 1:
-            for pattern in exact(room - waste, len(lengths), waste):
-                yield waste, pattern
+    try:
+        for waste in range(min(room, most_waste) + 1):
+            if sums[-1] >> (room - waste) & 1:
+                for pattern in exact(room - waste, len(lengths), waste):
+                    yield waste, pattern
+    finally:
+        del exact  # it refers to itself, and would keep the sums until the next collection
 
 
 def longest_first(left: dict[int, int], capacity: int, bins: int) -> Packing:
@@ -239,9 +242,12 @@ def search(counts: dict[int, int], capacity: int, size: int, least: int, width:
         nonlocal whole
         longest = max(left)
         left[longest] -= 1
-        lengths = sorted(x for x, n in left.items() if n)
-        room, spare = capacity - longest, (size - 1) * capacity - total - waste
-        tried = list(islice(fillings(room, lengths, left, spare), width + 1))
+        spare = (size - 1) * capacity - total - waste
+        # The lengths are not kept: there is a frame for each bin of a branch.
+        around = fillings(capacity - longest, sorted(x for x, n in left.items() if n), left, spare)
+        tried = list(islice(around, width + 1))
+        around.close()
+        del around
         left[longest] += 1
         whole = whole and len(tried) <= width
         for gap, filling in tried[:width]:
