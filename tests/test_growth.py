@@ -45,5 +45,24 @@ def test_a_rollup_is_joined_without_broadcast_and_copied_only_where_crowded(spar
     assert "BroadcastHashJoin" not in plan(found) and "Generate" not in plan(found)
 
 
+def test_groups_of_few_values_are_not_cut(spark, limit, monkeypatch):
+    rounds = []
+    cut = quantiles._cells_of_ranks
+    monkeypatch.setattr(quantiles, "_cells_of_ranks", lambda *a: rounds.append(a) or cut(*a))
+    limit(10)
+    for n, least in ((500, 0), (2 * quantiles.CELLS, 1)):
+        values = np.random.default_rng(n).normal(size=n)
+        df = spark.createDataFrame([("g", float(v)) for v in values], "g string, v double")
+        found = quantiles.select_by_rank(df, ["g"], {"q": ("v", 0.67)}, F.lit(1)).first()
+        assert found.q == pytest.approx(np.quantile(values, 0.67), rel=1e-12)
+        assert len(rounds) >= least and (least or not rounds)
+
+
 def sessions(spark, n=40):
     return make_sessions(spark, [{"player": f"P{i % 8}", "date": f"2024-01-{1 + i // 8:02d}"} for i in range(n)])
+
+
+def test_heavy_players_without_features_by_date_skip_the_rollup(spark, limit):
+    limit(2)
+    heavy = split_features(sessions(spark).withColumn("session_date", F.when(F.col("k1") > 0, F.col("session_date"))), []).heavy
+    assert "Generate" not in plan(heavy) and heavy.count() == 39
