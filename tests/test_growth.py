@@ -62,6 +62,18 @@ def sessions(spark, n=40):
     return make_sessions(spark, [{"player": f"P{i % 8}", "date": f"2024-01-{1 + i // 8:02d}"} for i in range(n)])
 
 
+def test_tasks_of_regular_players_are_as_many_as_the_rows_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(hotspots, "TASK_ROWS", 1)
+    rows = split_players(sessions(spark).withColumn("t", F.lit(1)))
+    assert re.search(r"RepartitionByExpression \[player#\d+\], 40", plan(rows.regular))
+
+
+def test_windows_on_dates_share_the_exchange_by_player(spark):
+    """The first window of these groups is by player and date."""
+    text = split_features(sessions(spark), ["training_load", "good_matches"]).regular._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\((\w+)#\d+, (?:\w+#\d+, )?\d+\)", text) == ["player"]
+
+
 def test_heavy_players_without_features_by_date_skip_the_rollup(spark, limit):
     limit(2)
     heavy = split_features(sessions(spark).withColumn("session_date", F.when(F.col("k1") > 0, F.col("session_date"))), []).heavy
