@@ -78,3 +78,7 @@ def test_heavy_players_without_features_by_date_skip_the_rollup(spark, limit):
     limit(2)
     heavy = split_features(sessions(spark).withColumn("session_date", F.when(F.col("k1") > 0, F.col("session_date"))), []).heavy
     assert "Generate" not in plan(heavy) and heavy.count() == 39
+
+
+def test_folds_read_stored_features(spark):
+    assert "Window" not in plan(queries.month_group_folds(spark, "/root/testdata/sf0.001"))
