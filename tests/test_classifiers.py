@@ -87,6 +87,71 @@ def test_boosting_follows_its_trees_one_part_at_a_time():
         assert together[p] == pytest.approx(1 / (1 + np.exp(-raw)))
 
 
+@pytest.mark.parametrize("features", [4, 12])
+def test_a_level_of_trees_is_sorted_once_for_all_features(features, monkeypatch):
+    x, y, parts, _ = sample(features=features)
+    calls, real = [], np.argsort
+
+    def counted(*args, **named):
+        calls.append(args)
+        return real(*args, **named)
+
+    monkeypatch.setattr(np, "argsort", counted)
+    learners.gradient_boosting(x, y, parts, ModelSizes(boosting_rounds=7), 42)
+    assert 7 <= len(calls) <= 7 * 3
+
+
+@pytest.mark.parametrize(("nodes", "ranks"), [(20, 100), (3_000, 1_000), (70_000, 50), (3, 70_000)])
+def test_entries_are_sorted_by_node_and_rank(nodes, ranks):
+    rng = np.random.default_rng(5)
+    node, rank = rng.integers(0, nodes, 2_000), rng.integers(0, ranks, (3, 2_000))
+    node[0], rank[0, 0] = nodes - 1, ranks - 1
+    found = learners.sorted_entries(node, rank)
+    assert (found == np.stack([np.lexsort((r, node)) for r in rank])).all()
+
+
+def test_features_looked_at_in_turn_give_the_same_trees(monkeypatch):
+    x, y, parts, _ = sample(n=200, features=10)
+    for kind in ("RandomForest", "GradientBoosting"):
+        monkeypatch.setattr(learners, "CELLS", 500_000)
+        together, _, shares = learners.LEARNERS[kind](x, y, parts, SMALL, 42)
+        monkeypatch.setattr(learners, "CELLS", 1)
+        in_turn, _, again = learners.LEARNERS[kind](x, y, parts, SMALL, 42)
+        assert (together == in_turn).all() and (shares == again).all()
+
+
+def test_network_equals_plain_steps():
+    """Parts of unlike sizes, some with a batch more than others, against one part at a time in plain steps."""
+    x, y, _, _ = sample(n=450)
+    parts = np.stack([np.arange(450) < 390, np.arange(450) >= 250, np.arange(450) >= 0])
+    sizes = ModelSizes(hidden=(6, 3), network_iterations=4)
+    scores, _, _ = learners.neural_network(x, y, parts, sizes, 42)
+    widths = [x.shape[1], 6, 3, 1]
+    for p, part in enumerate(parts):
+        rng, own, w = np.random.default_rng([42, p]), np.flatnonzero(part), []
+        for a, b in zip(widths, widths[1:]):
+            bound = np.sqrt((2.0 if b == 1 else 6.0) / (a + b))
+            drawn = rng.uniform(-bound, bound, a * b + b)
+            w += [drawn[: a * b].reshape(a, b), drawn[a * b :]]
+        first, second, t = [np.zeros_like(v) for v in w], [np.zeros_like(v) for v in w], 0
+        for _ in range(sizes.network_iterations):
+            order = rng.permutation(own)
+            for at in (order[i : i + 200] for i in range(0, len(order), 200)):
+                h1 = np.maximum(x[at] @ w[0] + w[1], 0)
+                h2 = np.maximum(h1 @ w[2] + w[3], 0)
+                d3 = 1 / (1 + np.exp(-(h2 @ w[4] + w[5]))) - y[at][:, None]
+                d2 = d3 @ w[4].T * (h2 > 0)
+                d1 = d2 @ w[2].T * (h1 > 0)
+                slopes = [x[at].T @ d1, d1.sum(axis=0), h1.T @ d2, d2.sum(axis=0), h2.T @ d3, d3.sum(axis=0)]
+                t += 1
+                for i, g in enumerate(slopes):
+                    g = (g + (1e-4 * w[i] if i % 2 == 0 else 0)) / len(at)
+                    first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.999 * second[i] + 0.001 * g * g
+                    w[i] = w[i] - 1e-3 * np.sqrt(1 - 0.999**t) / (1 - 0.9**t) * first[i] / (np.sqrt(second[i]) + 1e-8)
+        plain = np.maximum(np.maximum(x @ w[0] + w[1], 0) @ w[2] + w[3], 0) @ w[4] + w[5]
+        assert scores[p] == pytest.approx(1 / (1 + np.exp(-plain[:, 0])), abs=1e-4)
+
+
 @pytest.mark.parametrize("kind", learners.LEARNERS)
 def test_joint_fits_equal_separate_ones(kind):
     x, y, parts, fold = sample(n=450)
