@@ -476,6 +476,42 @@ def test_gradients():
         assert g[name][at] == pytest.approx((high - low) / 2e-5, rel=1e-3, abs=1e-8)
 
 
+def test_a_step_holds_only_the_rows_of_its_batch():
+    """The step's cost does not follow the embedding, its results are those of a gradient for every row."""
+    rng = np.random.Generator(np.random.PCG64(4))
+    w, plain = lm.first_weights(), lm.first_weights()
+    descent = lm.Descent(w, 0.03, 0.3)
+    moments, squares = ({n: np.zeros_like(x) for n, x in plain.items()} for _ in range(2))
+    for t in (1, 2, 3):
+        rows, real = rng.integers(0, 60, (70, lm.WINDOW)), np.ones((70, lm.WINDOW), dtype=bool)
+        real[::9, : lm.STEP] = False
+        target, scored = rng.integers(0, lm.CLASSES, (70, lm.STEP)), rng.random((70, lm.STEP)) > 0.1
+        sparse, g = lm.batch_gradients(w, rows, real, target, scored), lm.gradients(plain, rows, real, target, scored)
+        assert "embedding" not in sparse
+        assert sparse["touched"].tolist() == np.unique(rows).tolist()
+        assert sparse["slopes"].shape == (len(np.unique(rows)), lm.WIDTH)
+        descent.step(sparse)
+        for n in lm.SHAPES:
+            if n == "embedding":
+                squares[n] += g[n] * g[n]
+                plain[n] -= g[n] * (0.3 / (np.sqrt(squares[n]) + 1e-6))
+            else:
+                moments[n] += 0.1 * (g[n] - moments[n])
+                squares[n] += 0.01 * (g[n] ** 2 - squares[n])
+                plain[n] -= moments[n] / (np.sqrt(squares[n] * (1 / (1 - 0.99**t))) + 1e-6) * (0.03 / (1 - 0.9**t))
+            assert np.array_equal(lm.unpack(lm.pack(w))[n], plain[n]), n
+
+
+def test_padding_and_start_take_the_last_row():
+    classes = lm.Classes(np.arange(lm.IDS)[::-1].astype(float))
+    inputs, targets, _ = lm.windows_of([np.array([7, 9, lm.IDS - 1], dtype="<u2")])
+    rows, real = lm.model_input(classes, inputs)
+    assert rows[0, : lm.BEFORE + 1].tolist() == [lm.ROWS - 1] * (lm.BEFORE + 1)
+    assert rows[0, lm.BEFORE + 1 : lm.BEFORE + 3].tolist() == [7, 9]
+    assert np.flatnonzero(real[0]).tolist() == [lm.BEFORE, lm.BEFORE + 1, lm.BEFORE + 2]
+    assert classes.of[targets[0, :3]].tolist() == [classes.of[7], classes.of[9], lm.CLASSES - 1]
+
+
 def test_scores_are_causal_and_each_id_counts_once():
     classes = lm.Classes(np.arange(lm.IDS)[::-1].astype(float))
     w = lm.first_weights()
