@@ -54,3 +54,29 @@ def test_trees_searched_in_blocks_and_sessions_scored_in_pieces_are_the_same(mon
         assert shares is None or shares == pytest.approx(whole[kind][2])
         packed = learners.packed(model)
         assert learners.probabilities(kind, packed, x) == pytest.approx(scores[-1], abs=1e-9)
+
+
+def test_only_chosen_kinds_learn_from_all_months_and_say_the_same(spark, monkeypatch):
+    features = Split(stored(player_table(spark, 400)))
+    sizes = ModelSizes(trees=10, boosting_rounds=10, network_iterations=20)
+    found = {every: fatigue.train_fatigue(features, sizes, refit_all=every) for every in (False, True)}
+    held = [found[every].held_out.orderBy("model_type", "session_date", "k1") for every in (False, True)]
+    columns = ["model_type", "session_date", "k1", "fold", "performance_drop", "score", "said"]
+    assert held[0].select(*columns).collect() == held[1].select(*columns).collect()
+    assert held[1].filter("refit_said is null").count() == 0
+    chosen, other = (found[every].registry.collect() for every in (False, True))
+    assert len(chosen) == 1
+    for name in ("model_type", "tn", "fp", "fn", "tp", "held_out_tp"):
+        assert chosen[0][name] == other[0][name]
+    assert (chosen[0]["importances"] or {}) == pytest.approx(other[0]["importances"] or {})
+    scores = [{r["k1"]: r["risk"] for r in fatigue.score_sessions(features, found[every]).collect()} for every in (False, True)]
+    assert scores[0] == pytest.approx(scores[1]) and len(scores[0]) == 400
+    # Of three kinds with three folds each, one is fitted once more.
+    fits = []
+    real = fatigue.learners.random_forest
+    monkeypatch.setitem(learners.LEARNERS, "RandomForest", lambda x, y, parts, *rest: fits.append(len(parts)) or real(x, y, parts, *rest))
+    rows, _ = fatigue._training_table(features, "training")
+    group = rows.withColumn("model_type", F.lit("RandomForest")).toArrow()
+    for which in (fatigue.HELD_OUT, fatigue.WHOLE, fatigue.BOTH):
+        fatigue.fit_group(sizes, which)(group)
+    assert fits == [3, 1, 4]
