@@ -3,8 +3,10 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_heavy import SF, dense, limit, same  # noqa: F401
 
+from taperline.operators import hotspots
 from taperline.operators.features import GROUPS, build_features, split_features
 from taperline.operators.hotspots import CLEAN_SHUFFLES, shared_folder, stored, stored_alone
 from taperline.operators.zones import KEY, ZONE_INPUTS, zone_features
@@ -53,3 +55,18 @@ def test_columns_that_are_not_read_do_not_change_features(spark, limit, group):
     found = split.union()
     assert set(KEY) < set(found.columns) <= set(whole.columns)
     same(whole.select(*found.columns), found)
+
+
+def test_what_is_known_of_many_players_is_joined_once(spark, limit, monkeypatch):  # noqa: F811
+    """The same rows where players are too many to be broadcast, some of them without matches."""
+    table = bindings.sessions(spark, SF)
+    table = table.withColumn("tags", F.when(F.substring("player", 2, 9).cast("int") % 3 > 0, F.col("tags")))
+    groups = ["training_load", "good_matches", "taper_matches"]
+    plain = build_features(table, groups)
+    limit(100)
+    monkeypatch.setattr(hotspots, "BROADCAST_ROWS", 0)
+    before = tables(spark)
+    split = split_features(table, groups)
+    held = [spark.read.parquet(str(p)) for p in tables(spark) - before]
+    assert len([t for t in held if "player_load" in t.columns and "k1" in t.columns]) == 1
+    same(plain, split.union())
